@@ -31,6 +31,7 @@ M = 256  # registers, a power of two
 B = 1.1  # base of the register scale
 RATE = 20.0  # rate of the exponential law: keeps one-element sets inside the scale
 BANDS, ROWS = 24, 5  # at a similarity of 0.8 a pair shares no band once in 14,000
+SENT_ROWS = 100_000  # at most so many rows of four numbers are broadcast
 BLOCK = 2048  # rows of a block in the comparison of what is left apart
 
 
@@ -164,21 +165,21 @@ def verify(
 
     ``a`` is the side that many pairs share: its text is sent once for each
     ``per_task`` of its partners, and a task holds the set of one ``a`` and one
-    batch of partners.
+    batch of partners.  Texts are joined to what is wanted of them in one join;
+    they stay in place where the wanted rows, counted first, are few.
     """
     p = cut(pairs.select("a", "b"))
     hub = p.groupBy("a").agg(F.ceil(F.count("*") / per_task).cast("int").alias("shards"))
-    text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    left = (
-        text.join(hub.withColumnRenamed("a", "id"), "id")
-        .select("id", "text", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-        .select(F.col("id").alias("a"), "shard", F.lit(None).cast("long").alias("b"), "text")
+    hubs = hub.select(
+        F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(None).cast("long").alias("b")
     )
-    right = (
-        text.join(p.withColumnRenamed("b", "id"), "id")
-        .join(hub, "a")
-        .select("a", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int").alias("shard"), F.col("id").alias("b"), "text")
+    partners = p.join(hub, "a").select(
+        F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("shards")).cast("int").alias("shard"), "b"
     )
+    wanted = cut(hubs.unionByName(partners))
+    if wanted.count() <= SENT_ROWS:
+        wanted = F.broadcast(wanted)
+    text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         hub_id, hub_set = None, None
@@ -207,7 +208,8 @@ def verify(
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     return (
-        left.unionByName(right)
+        text.join(wanted, "id")
+        .select("a", "shard", "b", "text")
         .repartition("a", "shard")
         .sortWithinPartitions("a", "shard", F.col("b").asc_nulls_first())
         .mapInArrow(run, "a long, b long")
