@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20  # texts handled at once; one longer text is handled alone
+SLICE_BYTES = 1 << 20  # texts handled at once; one longer text is handled alone
 
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
