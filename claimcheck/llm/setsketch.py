@@ -32,7 +32,7 @@ B = 1.1  # base of the register scale
 RATE = 20.0  # rate of the exponential law: keeps one-element sets inside the scale
 BANDS, ROWS = 24, 5  # at a similarity of 0.8 a pair shares no band once in 14,000
 SENT_ROWS = 100_000  # at most so many rows of four numbers are broadcast
-BLOCK = 2048  # rows of a block in the comparison of what is left apart
+BLOCK = 512  # rows of a block in the comparison of what is left apart
 
 
 # ---------------------------------------------------------------- sketches
@@ -196,13 +196,7 @@ def verify(
                         continue
                     if a != hub_id:
                         continue
-                    if hub_set.size and s.size:
-                        pos = np.searchsorted(hub_set, s)
-                        pos[pos == hub_set.size] = 0
-                        both = int((hub_set[pos] == s).sum())
-                    else:
-                        both = 0
-                    if both and den * both >= num * (hub_set.size + s.size - both):
+                    if _linked(hub_set, s, num, den):
                         out_a.append(a)
                         out_b.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
@@ -216,76 +210,89 @@ def verify(
     )
 
 
-def _apart(members: DataFrame, labels: DataFrame, sketch: DataFrame, least: float) -> DataFrame:
-    """Pairs of one bucket and two components that no earlier comparison has decided.
-
-    In each bucket the largest component is taken as settled; every member
-    outside it is compared, by the estimate, with every member of another
-    component.  Both sides are dealt in blocks, so that a task holds two
-    blocks however large the bucket is; a pair is returned by the first band
-    that it shares only.
+def _apart(
+    members: DataFrame, labels: DataFrame, sketch: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int
+) -> DataFrame:
+    """Links (a, b) between members of one bucket that are in different components.
+
+    In each bucket the largest component is taken as settled; a member outside
+    it is odd there.  All odd members of a component's buckets are compared
+    with one another and with the component's members in those buckets: pairs
+    that share a band and whose estimate is high enough are verified on their
+    full sets at once.  Both sides are dealt in blocks, so a task holds two
+    blocks however large the component is, and only links are returned.
     """
-    m = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "band", "rep", "center", F.coalesce("component", "rep").alias("comp")
-    )
-    split = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    m = cut(m.join(split.select("key", "n"), "key"))
+    least = floor_of_estimate(num / den)
+    m = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+    split = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    m = cut(m.join(split, "key"))
     sizes = m.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("c", -F.col("comp"))).alias("main"), (F.sum("c") - F.max("c")).alias("rest"))
-    m = m.join(main, "key").join(sketch, "rep")
-    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("c", -F.col("comp"))).alias("grp"))
+    rows = m.join(main, "key").groupBy("grp", "rep", "comp").agg(F.lit(1).alias("one")).select("grp", "rep", "comp", (F.col("comp") != F.col("grp")).alias("odd"))
+    rows = cut(rows)
+    count = rows.groupBy("grp").agg(F.count_if("odd").alias("n_odd"), F.count("*").alias("n"))
+    rows = rows.join(count, "grp")
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
     own = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), blocks(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    cols = ["key", "band", "rep", "center", "comp", "n_shingles", "sketch"]
-    odd = m.where("comp <> main").select(*cols, "n", own(F.col("rest"), 1).alias("x"), F.lit(0).alias("side"))
-    odd = odd.withColumn("y", every(F.col("n"))).drop("n")
-    allm = m.select(*cols, "main", "rest", own(F.col("n"), 2).alias("y"), F.lit(1).alias("side"))
-    allm = allm.withColumn("odd", F.col("comp") != F.col("main")).withColumn("x", every(F.col("rest"))).drop("main", "rest")
-    both = odd.withColumn("odd", F.lit(True)).unionByName(allm)
+    odd = rows.where("odd").withColumn("x", own("n_odd", 1)).withColumn("y", every("n")).withColumn("side", F.lit(0))
+    both = rows.withColumn("y", own("n", 2)).withColumn("x", every("n_odd")).withColumn("side", F.lit(1))
+    cols = ["grp", "x", "y", "side", "rep", "comp", "odd"]
+    wanted = cut(odd.select(cols).unionByName(both.select(cols)).join(sketch, "rep"))
+    if wanted.count() <= SENT_ROWS // 4:
+        wanted = F.broadcast(wanted)
+    text = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
 
     def compare(rows):
-        if not rows:
-            return None
-        odd_rows = [r for r in rows if r[0] == 0]
-        others = [r for r in rows if r[0] == 1]
-        if not odd_rows or not others:
-            return None
-        grab = lambda rs, i, kind: np.array([r[i] for r in rs], kind)
-        band, center = rows[0][1], rows[0][2]
-        ia, ib = grab(odd_rows, 3, np.int64), grab(others, 3, np.int64)
-        ca, cb = grab(odd_rows, 4, np.int64), grab(others, 4, np.int64)
-        na, nb = grab(odd_rows, 5, float), grab(others, 5, float)
-        sa, sb = (np.frombuffer(b"".join(r[6] for r in rs), np.uint8).reshape(-1, M) for rs in (odd_rows, others))
-        strag = np.array([r[7] for r in others])
-        out = []
-        for i in range(len(ia)):
-            ok = (cb != ca[i]) & (ib != center) & (ia[i] != center) & (~strag | (ib > ia[i]))
-            ok &= np.minimum(nb, na[i]) >= 0.5 * np.maximum(nb, na[i])
-            j = np.flatnonzero(ok)
-            if not len(j):
-                continue
-            eq = sb[j] == sa[i]
-            first = eq[:, : BANDS * ROWS].reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1)
-            j = j[first == band]
-            if not len(j):
-                continue
-            est = estimate(np.broadcast_to(sa[i], (len(j), M)), sb[j], np.full(len(j), na[i]), nb[j])
-            out += [(int(ia[i]), int(ib[x])) for x in j[est >= least]]
-        return out
+        left, right = [r for r in rows if r[0] == 0], [r for r in rows if r[0] == 1]
+        found = []
+        if not left or not right:
+            return found
+        ib, cb = (np.array([r[i] for r in right], np.int64) for i in (1, 2))
+        nb = np.array([r[4] for r in right], float)
+        sb = np.frombuffer(b"".join(r[5] for r in right), np.uint8).reshape(-1, M)
+        odd_b = np.array([r[3] for r in right])
+        for _, i, comp, _, n, raw, mine in left:
+            j = np.flatnonzero((cb != comp) & (~odd_b | (ib > i)) & (np.minimum(nb, n) * den >= np.maximum(nb, n) * num))
+            sa = np.frombuffer(raw, np.uint8)
+            j = j[(sb[j, : BANDS * ROWS] == sa[: BANDS * ROWS]).reshape(len(j), BANDS, ROWS).all(axis=2).any(axis=1)]
+            if len(j):
+                est = estimate(np.broadcast_to(sa, (len(j), M)), sb[j], np.full(len(j), float(n)), nb[j])
+                found += [(i, int(ib[x])) for x in j[est >= least] if _linked(mine, right[x][6], num, den)]
+        return found
 
     def run(batches):
         group, rows = None, []
         for t in batches:
-            for key, x, y, *r in zip(*(t.column(c).to_pylist() for c in ("key", "x", "y", "side", "band", "center", "rep", "comp", "n_shingles", "sketch", "odd")), strict=True):
-                if (key, x, y) != group:
-                    if found := compare(rows):
-                        yield _pairs(found)
-                    group, rows = (key, x, y), []
-                rows.append(r)
+            meta = list(zip(*(t.column(c).to_pylist() for c in ("grp", "x", "y", "side", "rep", "comp", "odd", "n_shingles", "sketch")), strict=True))
+            for first, data, off in _words.slices(t.column("text")):
+                values, bounds = _words.shingle_sets(data, off, k)
+                for i in range(len(off) - 1):
+                    g, x, y, *r = meta[first + i]
+                    if (g, x, y) != group:
+                        if found := compare(rows):
+                            yield _pairs(found)
+                        group, rows = (g, x, y), []
+                    rows.append((*r, values[bounds[i] : bounds[i + 1]].copy()))
         if found := compare(rows):
             yield _pairs(found)
 
-    return both.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "a long, b long")
+    return (
+        text.join(wanted, "rep")
+        .repartition("grp", "x", "y")
+        .sortWithinPartitions("grp", "x", "y")
+        .mapInArrow(run, "a long, b long")
+    )
+
+
+def _linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
+    """den * |A and B| >= num * |A or B| for sorted sets; an empty set links with nothing."""
+    if not a.size or not b.size:
+        return False
+    pos = np.searchsorted(a, b)
+    pos[pos == a.size] = 0
+    both = int((a[pos] == b).sum())
+    return den * both >= num * (a.size + b.size - both)
 
 
 def _pairs(found) -> pa.RecordBatch:
@@ -329,7 +336,7 @@ def near_duplicates(
     sketch = reps.select("rep", "n_shingles", "sketch")
     keyed = reps.select(
         "rep",
-        F.posexplode(F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * ROWS + 1, ROWS)) for i in range(BANDS)])).alias("band", "key"),
+        F.explode(F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * ROWS + 1, ROWS)) for i in range(BANDS)])).alias("key"),
     )
     shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = cut(keyed.join(shared, "key"))
@@ -337,18 +344,16 @@ def near_duplicates(
     center = (
         members.join(density, "rep").groupBy("key").agg(F.max_by("rep", F.struct("density", -F.col("rep"))).alias("center"))
     )
-    members = cut(members.join(center, "key").select("key", "band", "rep", "center"))
+    members = cut(members.join(center, "key").select("key", "rep", "center"))
     star = members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
     least = floor_of_estimate(num / den)
     side = lambda n: sketch.select(F.col("rep").alias(n), F.col("n_shingles").alias("n" + n), F.col("sketch").alias("s" + n))
     likely = _pair_filter(star.join(side("a"), "a").join(side("b"), "b"), least)
     links = cut(verify(likely, docs, id_col, text_col, shingle_words, num, den))
     labels = components(links)
-    rest = cut(_apart(members, labels, sketch, least))
-    if rest.limit(1).count():
-        more = cut(verify(rest, docs, id_col, text_col, shingle_words, num, den))
-        if more.limit(1).count():
-            labels = components(links.unionByName(more))
+    more = cut(_apart(members, labels, sketch, docs, id_col, text_col, shingle_words, num, den))
+    if more.limit(1).count():
+        labels = components(links.unionByName(more))
     named = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "fp1", "fp2", "n_shingles", F.coalesce("component", "rep").alias("component_id")
     )
