@@ -64,12 +64,12 @@ def slices(column: pa.Array | pa.ChunkedArray):
         i = j
 
 
-def words(data: np.ndarray, off: np.ndarray):
-    """(start, end, document) of each word of a slice."""
+def words(data: np.ndarray, off: np.ndarray, outside: np.ndarray = _SEP):
+    """(start, end, document) of each word of a slice: a run of bytes not in ``outside``."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, z
-    sep = _SEP[data]
+    sep = outside[data]
     first = off[:-1][off[:-1] < len(data)]
     begins = ~sep
     begins[1:] &= sep[:-1]

@@ -5,21 +5,85 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimcheck.llm import setsketch
+from claimcheck.llm import chat, mixing, packing, pii, setsketch, spm, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back from the ids."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(rows.unionByName(own)), ordered=True)
+
+
 def op2_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 2-word shingle sets have a similarity of 0.8 or more."""
     out = setsketch.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, num=80, den=100)
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with pseudonyms for personal data, and how many of each kind."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs)
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and whether they decode to its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = spm.decode(spm.encode(docs), text_col="decoded")
+    same = F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), same.alias("round_trip"), "ids")
+
+
+def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents mixed with sources weighing the root of their size, shuffled globally."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return mixing.mix(docs)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token ids packed into rows of 2048."""
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.detect(docs, table(spark, sf_dir, "labels"))
+    held = F.crc32(F.col("id").cast("string")) % 5 == 0
+    return out.select(F.col("id").alias("doc_id"), F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
+
+
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_setsketch_near_dedup": op2_setsketch_near_dedup,
+    "op3_pii_pseudonyms": op3_pii_pseudonyms,
+    "op5_sentencepiece": op5_sentencepiece,
+    "op6_poisson_mix": op6_poisson_mix,
+    "op7_packing": op7_packing,
+    "op9_toxicity": op9_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+e AS (
+  SELECT *, regexp_replace(text, '(<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|\[ROLE\]|\[/ROLE\])', '\\\1', 'g') AS esc FROM c
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(length(esc) + CASE role WHEN 'user' THEN 16 WHEN 'system' THEN 18 WHEN 'assistant' THEN 5 ELSE 21 + length(role) END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op6_poisson_mix": mixing.oracle_sql(),
+}
