@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimcheck.llm import chat, mixing, packing, pii, setsketch, spm, toxicity
+from claimcheck.llm import chat, mixing, nndescent, packing, pii, rpforest, setsketch, spm, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,12 @@ def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs)
 
 
+def op4_forest_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of embeddings of one label with a cosine of 0.93 or more."""
+    out = rpforest.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and whether they decode to its text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,6 +57,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back by way of the capture index."""
+    out = warc.archive(table(spark, sf_dir, "pages")).read_all()
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,14 +71,23 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
 
 
+def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth embedding."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nndescent.nearest(vectors, vectors.where("vec_id % 100 = 0"), top=10)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_setsketch_near_dedup": op2_setsketch_near_dedup,
     "op3_pii_pseudonyms": op3_pii_pseudonyms,
+    "op4_forest_near_dedup": op4_forest_near_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_poisson_mix": op6_poisson_mix,
     "op7_packing": op7_packing,
+    "op8_warc_index": op8_warc_index,
     "op9_toxicity": op9_toxicity,
+    "op10_nn_descent": op10_nn_descent,
 }
 
 ORACLE_SQL: dict[str, str] = {
