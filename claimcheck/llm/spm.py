@@ -11,8 +11,8 @@ The lattice is a stream: only boundaries within the longest piece's length of
 the end can still be extended.  Once their back-pointers all meet in one
 boundary, the ids up to it are given out and the text before it is dropped.
 Where the vocabulary has no piece across a boundary (before a space, beside a
-line break), all paths meet there, so the segments between are looked up in a
-bounded cache first.
+line break, between a letter and a mark), all paths meet there, so the segments
+between are looked up in a bounded cache first.
 """
 
 from __future__ import annotations
@@ -30,7 +30,9 @@ from claimcheck.llm._util import prepare
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CACHE = 300_000  # segments and piece pairs that a worker remembers at most
+CACHE = 250_000  # segments of one generation that a worker remembers
+PAIRS = 500_000  # pairs of pieces that it remembers
+SHORT = 64  # characters of a segment that is remembered
 UNIGRAM, BPE = 1, 2
 
 
@@ -65,23 +67,35 @@ class Vocabulary:
                 self.ids[p], self.scores[p] = i, sp.get_score(i)
                 self.out.append(p.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.ids))
+        # 1: begins longer pieces, 2: is a piece as well, 3: is a piece and begins none
+        self.kinds = {p[:n]: 1 for p in self.ids for n in range(1, len(p))}
+        self.kinds |= {p: 2 if p in self.kinds else 3 for p in self.ids}
+        self.packed = {p: np.array([i], np.int32).tobytes() for p, i in self.ids.items()}
         self.unknown = min(self.scores.values()) - 10.0
         many = [p for p in self.ids if len(p) > 1]
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in many) and not any("\n" in p for p in many)
-        self._pairs: dict[tuple[str, str], bool] = {}
+        beside = {(a, b) for p in many for a, b in zip(p, p[1:], strict=False)}
+        joined = {b for a, b in beside if a.isalnum()}
+        self.marks = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in joined)
+        self.after: dict[str, dict[str, bool]] = {}
+        self._known_pairs = 0
 
     def id_bytes(self, piece: str) -> bytes:
-        i = self.ids.get(piece)
-        ids = [i] if i is not None else [self.byte[b] for b in piece.encode()]
-        return np.array(ids, np.int32).tobytes()
+        known = self.packed.get(piece)
+        return known if known is not None else np.array([self.byte[b] for b in piece.encode()], np.int32).tobytes()
 
     def stable(self, left: str, right: str) -> bool:
         """Whether merging the two pieces' characters gives just these pieces."""
-        known = self._pairs.get((left, right))
+        row = self.after.get(left)
+        if row is None:
+            row = self.after[left] = {}
+        known = row.get(right)
         if known is None:
-            if len(self._pairs) >= CACHE:
-                self._pairs.clear()
-            known = self._pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+            self._known_pairs += 1
+            if self._known_pairs > PAIRS:  # rows in use stay usable
+                self.after, self._known_pairs = {left: row}, 1
+                row.clear()
+            known = row[right] = self.merged(left + right) == ([left, right] if left else [right])
         return known
 
     def merged(self, text: str) -> list[str]:
@@ -175,21 +189,57 @@ class StreamingViterbi:
 class Codec:
     """Encodes and decodes whole texts; keeps one worker's caches."""
 
-    _segments = re.compile(f"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+")
-
     def __init__(self, path: str):
         self.v = Vocabulary(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        word = f"{SPACE}*[^\\W_]+(?=[{re.escape(self.v.marks)}])|" if self.v.marks else ""
+        self._segments = re.compile(f"{word}{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+")
 
     def _fresh(self, segment: str) -> bytes:
-        s = StreamingViterbi(self.v)
-        ids = s.push(segment) + s.finish()
-        if len(segment) <= 64:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            self.known[segment] = ids
+        """Ids of a segment that the younger generation does not know."""
+        if len(segment) > SHORT or self.v.kind != BPE:
+            s = StreamingViterbi(self.v)
+            return s.push(segment) + s.finish()
+        ids = self.older.get(segment)
+        if ids is None:
+            ids = self._short(segment)
+        if len(self.known) >= CACHE:
+            self.older, self.known = self.known, {}
+        self.known[segment] = ids
         return ids
 
+    def _short(self, text: str) -> bytes:
+        """The BPE lattice of a segment shorter than a stream's window, forwards from each live boundary."""
+        v = self.v
+        kinds, stable = v.kinds.get, v.stable
+        n, longest = len(text), v.longest
+        ends: list[str | None] = [None] * (n + 1)  # the piece of the path that ends at each boundary
+        ends[0] = ""
+        for j in range(n):
+            left = ends[j]
+            if left is None:
+                continue
+            row = v.after.get(left)
+            if row is None:
+                row = v.after[left] = {}
+            for i in range(j + 1, n + 1 if n - j < longest else j + longest + 1):
+                piece = text[j:i]
+                kind = kinds(piece, 0)
+                if ends[i] is None and (kind > 1 or i == j + 1):
+                    ok = row.get(piece)
+                    if ok or ok is None and stable(left, piece):
+                        ends[i] = piece
+                if kind == 0 or kind == 3:
+                    break
+        out, i = [], n
+        while i:
+            piece = ends[i]
+            out.append(v.packed.get(piece) or v.id_bytes(piece))
+            i -= len(piece)
+        out.reverse()
+        return b"".join(out)
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
@@ -198,8 +248,8 @@ class Codec:
             text = SPACE + text
         if not self.v.splits:
             return np.frombuffer(self._fresh(text), np.int32)
-        known, fresh = self.known, self._fresh
-        return np.frombuffer(b"".join([known.get(s) or fresh(s) for s in self._segments.findall(text)]), np.int32)
+        known, fresh = self.known.get, self._fresh  # a generation that grows old meanwhile is still right
+        return np.frombuffer(b"".join([known(s) or fresh(s) for s in self._segments.findall(text)]), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         out = self.v.out
