@@ -92,7 +92,7 @@ class Hashes:
 
     def of(self, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
         h = (self.sums[end] - self.sums[start]) * self.back[start]
-        return mix(h + np.uint64(seed) * _STEP)
+        return mix(h + np.uint64(seed * int(_STEP) % (1 << 64)))
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int):

@@ -270,16 +270,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         weights = model.dense()
         for t in batches:
             ids = t.column(0)
-            for first, data, off in _words.slices(t.column(1)):
-                docs_n = len(off) - 1
-                start, end, doc, feats = tokens(data, off)
-                e = weights[feats].sum(axis=0, dtype=np.float64) + model.bias
-                p, _ = Chains(doc, docs_n).run(e, model.trans, model.start)
-                s = _sigmoid(summaries(p, doc, docs_n) @ model.logit)
-                spans = _spans(data, off, start, end, doc, p, docs_n)
+            for first, n, s, spans in _scored(t.column(1), model, weights):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(first, docs_n),
+                        ids.slice(first, n),
                         pa.array(s),
                         pa.array((s >= 0.5).astype(np.int32)),
                         pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))),
@@ -290,6 +284,31 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, {SCORED}")
 
 
+def _scored(column, model: Model, weights: np.ndarray):
+    """(first row, rows, scores, spans) of the slices of a text column."""
+    for first, data, off in _words.slices(column):
+        n = len(off) - 1
+        start, end, doc, feats = tokens(data, off)
+        e = weights[feats].sum(axis=0, dtype=np.float64) + model.bias
+        p, _ = Chains(doc, n).run(e, model.trans, model.start)
+        yield first, n, _sigmoid(summaries(p, doc, n) @ model.logit), _spans(data, off, start, end, doc, p, n)
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below a half; no shuffle."""
+    prepare(docs.sparkSession)
+
+    def run(batches):
+        weights = model.dense()
+        for t in batches:
+            keep = np.ones(t.num_rows, bool)
+            for first, n, s, _ in _scored(t.column(text_col), model, weights):
+                keep[first : first + n] = s < 0.5
+            yield t.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _spans(data, off, start, end, doc, p, docs):
     out = [[] for _ in range(docs)]
     hits = np.flatnonzero(p >= SPAN)
@@ -315,4 +334,9 @@ def detect(
     sample_docs: int = SAMPLE_DOCS,
 ) -> DataFrame:
     """Fits on a bounded sample of ``labels`` and scores every document."""
-    return score(docs, fit(*sample(docs, labels, id_col, text_col, label_col, sample_docs), sample_docs), id_col, text_col)
+    return score(docs, fitted(docs, labels, id_col, text_col, label_col, sample_docs), id_col, text_col)
+
+
+def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model:
+    """A model fitted to the bounded sample of the labelled rows."""
+    return fit(*sample(docs, labels, id_col, text_col, label_col, sample_docs), sample_docs)
