@@ -31,7 +31,6 @@ M = 256  # registers, a power of two
 B = 1.1  # base of the register scale
 RATE = 20.0  # rate of the exponential law: keeps one-element sets inside the scale
 BANDS, ROWS = 24, 5  # at a similarity of 0.8 a pair shares no band once in 14,000
-SENT_ROWS = 100_000  # at most so many rows of four numbers are broadcast
 BLOCK = 512  # rows of a block in the comparison of what is left apart
 
 
@@ -165,8 +164,7 @@ def verify(
 
     ``a`` is the side that many pairs share: its text is sent once for each
     ``per_task`` of its partners, and a task holds the set of one ``a`` and one
-    batch of partners.  Texts are joined to what is wanted of them in one join;
-    they stay in place where the wanted rows, counted first, are few.
+    batch of partners.  Texts are joined to what is wanted of them in one join.
     """
     p = cut(pairs.select("a", "b"))
     hub = p.groupBy("a").agg(F.ceil(F.count("*") / per_task).cast("int").alias("shards"))
@@ -177,8 +175,6 @@ def verify(
         F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("shards")).cast("int").alias("shard"), "b"
     )
     wanted = cut(hubs.unionByName(partners))
-    if wanted.count() <= SENT_ROWS:
-        wanted = F.broadcast(wanted)
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
@@ -202,7 +198,7 @@ def verify(
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     return (
-        text.join(wanted, "id")
+        text.join(wanted.hint("merge"), "id")
         .select("a", "shard", "b", "text")
         .repartition("a", "shard")
         .sortWithinPartitions("a", "shard", F.col("b").asc_nulls_first())
@@ -239,8 +235,6 @@ def _apart(
     both = rows.withColumn("y", own("n", 2)).withColumn("x", every("n_odd")).withColumn("side", F.lit(1))
     cols = ["grp", "x", "y", "side", "rep", "comp", "odd"]
     wanted = cut(odd.select(cols).unionByName(both.select(cols)).join(sketch, "rep"))
-    if wanted.count() <= SENT_ROWS // 4:
-        wanted = F.broadcast(wanted)
     text = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
 
     def compare(rows):
@@ -258,7 +252,11 @@ def _apart(
             j = j[(sb[j, : BANDS * ROWS] == sa[: BANDS * ROWS]).reshape(len(j), BANDS, ROWS).all(axis=2).any(axis=1)]
             if len(j):
                 est = estimate(np.broadcast_to(sa, (len(j), M)), sb[j], np.full(len(j), float(n)), nb[j])
-                found += [(i, int(ib[x])) for x in j[est >= least] if _linked(mine, right[x][6], num, den)]
+                joined = set()  # one link to a component joins all of it
+                for x in j[np.argsort(-est)][: np.count_nonzero(est >= least)].tolist():
+                    if cb[x] not in joined and _linked(mine, right[x][6], num, den):
+                        joined.add(cb[x])
+                        found.append((i, int(ib[x])))
         return found
 
     def run(batches):
@@ -278,7 +276,7 @@ def _apart(
             yield _pairs(found)
 
     return (
-        text.join(wanted, "rep")
+        text.join(wanted.hint("merge"), "rep")
         .repartition("grp", "x", "y")
         .sortWithinPartitions("grp", "x", "y")
         .mapInArrow(run, "a long, b long")
