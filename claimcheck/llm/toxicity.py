@@ -164,13 +164,14 @@ def _toxic_features(texts: list[str], toxic: np.ndarray) -> np.ndarray:
             t += np.bincount(b[toxic[d]], minlength=BUCKETS).astype(np.int32)
             c += np.bincount(b[~toxic[d]], minlength=BUCKETS).astype(np.int32)
     base = toxic.mean()
-    n = t + c
-    at = np.flatnonzero((t >= 3) & (t * (1 - base) >= 8 * c * base))  # eight times as frequent
+    features = np.count_nonzero(t) + np.count_nonzero(c[t == 0])
+    at = np.flatnonzero(t >= 3)
+    at = at[t[at] * (1 - base) >= 8 * c[at] * base]  # eight times as frequent
     x, y = t[at].astype(float), c[at].astype(float)
     total = x + y
     g = 2 * (x * np.log(x / (base * total)) + y * np.log(np.maximum(y, 0.5) / ((1 - base) * total)))
     marks = np.zeros(BUCKETS, bool)
-    marks[at[g >= 2 * np.log(np.count_nonzero(n) + 1)]] = True
+    marks[at[g >= 2 * np.log(features + 1)]] = True
     return marks
 
 
@@ -241,8 +242,9 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     texts, ys, seen = [], [], set()
     for r in rows:
         w = r.text.split()
-        parts = {hash(tuple(w[i : i + 4])) for i in range(0, max(1, len(w) - 3), 2)} | {hash(tuple(w[i : i + 4])) for i in range(1, max(1, len(w) - 3), 2)}
-        if len(parts & seen) * 2 > len(parts):
+        every = (hash(tuple(w[i : i + 4])) for i in range(max(1, len(w) - 3)))
+        parts = {h for h in every if h % 8 == 0}  # an eighth of the runs of four words stands for all
+        if parts and len(parts & seen) * 2 > len(parts):
             continue
         seen |= parts
         texts.append(r.text)
