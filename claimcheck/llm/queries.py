@@ -106,5 +106,48 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(3 + sum(length(esc) + CASE role WHEN 'user' THEN 16 WHEN 'system' THEN 18 WHEN 'assistant' THEN 5 ELSE 21 + length(role) END) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id""",
+    "op2_setsketch_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sh AS (
+  SELECT doc_id, CASE len(w) WHEN 0 THEN CAST([] AS VARCHAR[]) WHEN 1 THEN w ELSE list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) END AS s FROM w
+),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sh),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT sh.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(sh.doc_id, coalesce(m, sh.doc_id)) AS component_id, sh.doc_id <= coalesce(m, sh.doc_id) AS kept
+FROM sh LEFT JOIN low ON low.a = sh.doc_id""",
+    "op4_forest_near_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+n AS (SELECT *, sqrt(list_dot_product(e, e)) AS z FROM v),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.z * b.z) >= 0.93::DOUBLE
+),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+deg AS (SELECT a, count(*) AS k FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(k, 0) AS n_links, least(e.vec_id, coalesce(m, e.vec_id)) AS component_id, e.vec_id <= coalesce(m, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN low ON low.a = e.vec_id LEFT JOIN deg ON deg.a = e.vec_id""",
     "op6_poisson_mix": mixing.oracle_sql(),
+    "op8_warc_index": """
+WITH h AS (SELECT page_id, coalesce(html, '') AS p, sha1(coalesce(html, '')) AS x FROM pages),
+b AS (
+  SELECT *, array_to_string([['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][instr('0123456789abcdef', c)]
+    for c in string_split(x, '')], '') AS bits, min(page_id) OVER (PARTITION BY x) AS first
+  FROM h
+)
+SELECT page_id, CAST(strlen(p) AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + instr('0000 0001 0010 0011 0100 0101 0110 0111 1000 1001 1010 1011 1100 1101 1110 1111', substr(bits, 5 * k + 2, 4)) // 5
+    + if(substr(bits, 5 * k + 1, 1) = '1', 16, 0), 1) for k in range(0, 32)], '') AS payload_digest,
+  if(page_id = first, 'response', 'revisit') AS record_type, if(page_id = first, NULL, first) AS refers_to
+FROM b""",
 }

@@ -51,7 +51,7 @@ def sketches(values: np.ndarray, bounds: np.ndarray, m: int = M) -> np.ndarray:
     for j in range(m):
         if not len(values):
             break
-        draw = _words.mix(values + np.uint64(j + 1) * np.uint64(0x9E3779B97F4A7C15))
+        draw = _words.mix(values + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
         t = (j + (draw >> np.uint64(11)).astype(np.float64) * 2.0**-53) / m
         at = doc * m + (place & mask).astype(np.int64)
         if j:
