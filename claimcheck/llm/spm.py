@@ -262,22 +262,24 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def _added(df: DataFrame, name: str, kind: T.DataType, work) -> DataFrame:
-    """``df`` with the column ``name`` (put in place of one of that name) that ``work`` makes of Arrow batches."""
-    keep = df.select([F.col(f"`{c}`") for c in df.columns])
-    fields = [f for f in keep.schema.fields if f.name != name]
+def _added(df: DataFrame, added: list[tuple[str, T.DataType]], work) -> DataFrame:
+    """``df`` with the columns (put in place of those of their names) that ``work`` makes of Arrow batches."""
+    fresh = [n for n, _ in added]
+    fields = [f for f in df.schema.fields if f.name not in fresh]
     names = [f.name for f in fields]
 
     def run(batches):
         for t in batches:
-            yield pa.RecordBatch.from_arrays([*(t.column(c) for c in names), work(t)], names=[*names, name])
+            yield pa.RecordBatch.from_arrays([*(t.column(c) for c in names), *work(t)], names=[*names, *fresh])
 
-    return keep.mapInArrow(run, T.StructType([*fields, T.StructField(name, kind)]))
+    return df.select([F.col(f"`{c}`") for c in df.columns]).mapInArrow(run, T.StructType([*fields, *(T.StructField(n, k) for n, k in added)]))
 
 
-def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model: str = MODEL) -> DataFrame:
+def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model: str = MODEL, check_col: str | None = None) -> DataFrame:
     """``docs`` with the ids of each whole text as array<int>; other columns stay.
 
+    ``check_col``: a further column that says whether the ids decode to the text.
+
     Defined cases: null and empty texts have no ids; characters without a
     piece become byte pieces; a column named ``ids_col`` is replaced; an empty
     table gives an empty result.  Texts of any length are a stream.
@@ -288,9 +290,13 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model:
         c = codec(model)
         ids = [c.encode(x or "") for x in t.column(text_col).to_pylist()]
         ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+        out = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))]
+        if check_col:
+            out.append(pa.array([c.decode(i) == (x or "") for i, x in zip(ids, t.column(text_col).to_pylist(), strict=True)]))
+        return out
 
-    return _added(docs, ids_col, T.ArrayType(T.IntegerType()), work)
+    added = [(ids_col, T.ArrayType(T.IntegerType()))] + ([(check_col, T.BooleanType())] if check_col else [])
+    return _added(docs, added, work)
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", text_col: str = "text", model: str = MODEL) -> DataFrame:
@@ -300,6 +306,6 @@ def decode(rows: DataFrame, ids_col: str = "ids", text_col: str = "text", model:
     def work(t):
         c = codec(model)
         col = t.column(ids_col)
-        return pa.array([c.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in col], pa.string())
+        return [pa.array([c.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in col], pa.string())]
 
-    return _added(rows, text_col, T.StringType(), work)
+    return _added(rows, [(text_col, T.StringType())], work)

@@ -66,6 +66,7 @@ def test_unigram_scores_equal_the_library(tmp_path):
 
 def test_nulls_empty_table_and_clashes(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "a b", "z")], "doc_id long, text string, ids string")
+    assert all(r.ok for r in spm.encode(df, check_col="ok").collect())
     got = {r.doc_id: r.ids for r in spm.encode(df).collect()}
     assert got[1] == [] and got[2] == [] and len(got[3]) == 2
     assert spm.encode(spark.createDataFrame([], "doc_id long, text string")).count() == 0
