@@ -55,10 +55,10 @@ def rates(docs: DataFrame, source_col: str, weights: dict[str | None, float] | N
         for name, value in weights.items():
             w = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(value))).otherwise(w)
     n = n.withColumn("w", w)
-    total = n.agg(F.sum("w").alias("all_w"), F.sum("n").alias("all_n"))
-    want = F.lit(rows) if rows is not None else F.col("all_n")
-    share = F.when(F.col("all_w") > 0, F.col("w") / F.col("all_w")).otherwise(F.lit(0.0))
-    return n.join(F.broadcast(total)).select("source", (share * want / F.col("n")).alias("rate"))
+    all_w = n.agg(F.sum("w")).scalar()
+    want = F.lit(rows) if rows is not None else n.agg(F.sum("n")).scalar()
+    share = F.when(all_w > 0, F.col("w") / all_w).otherwise(F.lit(0.0))
+    return n.select("source", (share * want / F.col("n")).alias("rate"))
 
 
 def mix(
