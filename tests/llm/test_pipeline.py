@@ -47,3 +47,14 @@ def test_stages_against_brute_force(spark, sf_dir, tmp_path):
 def test_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir.replace("sf0.01", "sf0.001"))
     assert out.count() > 0 and "ids" in out.columns
+
+
+def test_odd_and_empty_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = [(None, None, None, None, None), (1, "", "en", "a", 0), (2, None, "en", None, None), (3, "x " * 200000, "en", "a", 400000), (3, "x " * 200000, "en", "a", 400000)]
+    for now in (docs.limit(0), spark.createDataFrame(odd, docs.schema)):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            now = stage(spark, now, sf_dir)
+            assert k == 4 or now.columns == docs.columns
+        rows = now.collect()
+        assert all(r.round_trip for r in rows)
