@@ -11,7 +11,10 @@ blocks, since splitting would lose links.
 Exact copies form classes first: one vector stands for them, and the number of
 copies enters the counts, so a vector repeated a million times costs one row.
 A label of more vectors than a task should hold is split over the cluster by
-the same rule, at medians that Spark computes, until its parts fit.
+the same rule, at medians that Spark computes, until its parts fit.  A node
+there that is dense, or that the spill band would hardly make smaller, is not
+split: all its pairs are compared as pairs of blocks dealt over the cluster,
+which return counts and a spanning forest instead of the links.
 """
 
 from __future__ import annotations
@@ -30,6 +33,9 @@ LEAF = 200
 PART = 20_000  # vectors that one task splits and compares at most
 SPILL = 0.65  # half width of the spill band, in standard deviations of a threshold pair's difference
 BLOCK = 1024
+WIDEST = 0.65  # largest share of a node that a side may hold: larger sides save little over comparing the node whole
+NODE = ["grp", "tree", "path"]
+TASK = [*NODE, "x", "y"]
 
 
 def _direction(dim: int, *seed: int) -> np.ndarray:
@@ -92,20 +98,84 @@ def links_within(x: np.ndarray, threshold: float, trees: range, leaf: int = LEAF
     return np.stack([codes // n, codes % n], axis=1) if n else np.zeros((0, 2), np.int64)
 
 
+def count_links(x, y, cx, cy, wx, wy, threshold: float):
+    """(counts of x, counts of y, tree edges) of all pairs of the rows of two blocks; y None: of the rows of one.
+
+    A row counts the copies of each row it links to, unless the pair shares a
+    column of ``wx`` and ``wy``.  The edges join the rows as all links do.
+    """
+    one = y is None
+    if one:
+        y, cy, wy = x, cx, wx
+    n, m = len(x), len(y)
+    nx, ny = np.sqrt((x * x).sum(axis=1)), np.sqrt((y * y).sum(axis=1))
+    kx, ky = np.zeros(n, np.int64), np.zeros(m, np.int64)
+    name = np.arange(n if one else n + m)
+    edges = []
+    for i in range(0, n, BLOCK):
+        for j in range(i if one else 0, m, BLOCK):
+            a, b = slice(i, i + BLOCK), slice(j, j + BLOCK)
+            hit = (x[a] @ y[b].T) / (nx[a][:, None] * ny[b][None]) >= threshold
+            mirror = one and i == j
+            if mirror:
+                np.fill_diagonal(hit, False)
+            shift = j if one else n + j
+            while True:
+                apart = hit & (name[i : i + hit.shape[0]][:, None] != name[shift : shift + hit.shape[1]][None])
+                r, s = np.flatnonzero(apart.any(axis=1)), np.flatnonzero(apart.any(axis=0))
+                if not len(r):
+                    break
+                # each row to its first link and each column to its first
+                p = np.concatenate((r, apart[:, s].argmax(axis=0))) + i
+                q = np.concatenate((apart[r].argmax(axis=1), s)) + shift
+                for a1, b1 in zip(p.tolist(), q.tolist(), strict=True):
+                    if name[a1] != name[b1]:
+                        name[name == name[b1]] = name[a1]
+                        edges.append((a1, b1))
+            if wx.shape[1]:
+                hit &= (wx[a] @ wy[b].T) < 0.5
+            kx[a] += hit @ cy[b]
+            if not mirror:
+                ky[b] += hit.T @ cx[a]
+    return (kx + ky, None, edges) if one else (kx, ky, edges)
+
+
+def _dense_nodes(rows: DataFrame, n: DataFrame, threshold: float) -> DataFrame:
+    """The dense ones of the nodes of ``n``, judged by about sixty-four hashed rows of each."""
+    taken = rows.join(n, NODE).where(F.pmod(F.xxhash64("rep", "tree", "path"), F.col("n")) < 64)
+    taken = taken.groupBy(*NODE).agg(F.collect_list("vec").alias("vecs"))
+
+    def run(batches):
+        for t in batches:
+            keep = []
+            for vecs in t.column("vecs"):
+                u = matrix(vecs.values)
+                u = u / np.sqrt((u * u).sum(axis=1, keepdims=True))
+                keep.append(_dense(u, threshold, np.random.default_rng(17)))
+            yield pa.RecordBatch.from_arrays([t.column(c) for c in NODE], names=NODE).filter(pa.array(keep, pa.bool_()))
+
+    return taken.mapInArrow(run, "grp string, tree int, path long")
+
+
 def _parts(reps: DataFrame, threshold: float, trees: int, part: int) -> DataFrame:
-    """(grp, tree, path, rep, vec): parts of at most ``part`` rows, split over the cluster where need be.
+    """Rows (grp, tree, path, x, y, at, wid, w, rep, copies, vec) of the tasks (grp, tree, path, x, y).
 
-    tree -1: a group that fits as a whole, for all trees at once.
+    x = -1: a part of at most ``part`` rows, split over the cluster where need
+    be; tree -1 there is a group that fits as a whole, for all trees at once.
+    x >= 0: the blocks x and y (``at`` names the row's) of a node ``wid`` that
+    is compared whole.  ``w`` holds all such nodes that the row is in.
     """
+    cols = ["rep", "copies", "vec"]
     size = reps.groupBy("grp").agg(F.count("*").alias("n"))
     sized = reps.join(size, "grp")
-    whole = sized.where(F.col("n") <= part).select("grp", F.lit(-1).alias("tree"), F.lit(0).cast("long").alias("path"), "rep", "vec")
+    fits = sized.where(F.col("n") <= part).select("grp", F.lit(-1).alias("tree"), F.lit(0).cast("long").alias("path"), *cols)
+    none = F.lit(-1)
+    plain = lambda df, w: df.select(*NODE, none.alias("x"), none.alias("y"), none.alias("at"), F.lit(0).cast("long").alias("wid"), w.alias("w"), *cols)
+    if size.where(F.col("n") > part).limit(1).count() == 0:
+        return plain(fits, F.array().cast("array<long>"))
     todo = sized.where(F.col("n") > part).select(
-        "grp", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(1).cast("long").alias("path"), "rep", "vec"
+        "grp", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(1).cast("long").alias("path"), *cols
     )
-    if size.where(F.col("n") > part).limit(1).count() == 0:
-        return whole
-    done = whole
 
     def project(batches):
         for t in batches:
@@ -118,28 +188,40 @@ def _parts(reps: DataFrame, threshold: float, trees: int, part: int) -> DataFram
                 p[m] = u[m] @ _direction(u.shape[1], 7, s, w, w >> 31)
             yield pa.RecordBatch.from_arrays([*t.columns, pa.array(p)], names=[*t.schema.names, "p"])
 
+    done, whole = todo.limit(0), todo.limit(0).withColumn("n", F.lit(0).cast("long"))
     level = 0
     while True:
         level += 1
-        placed = cut(todo.mapInArrow(project, "grp string, tree int, path long, rep long, vec array<double>, p double"))
-        cuts = placed.groupBy("grp", "tree", "path").agg(
-            F.percentile_approx("p", [0.4, 0.5, 0.6], 1000).alias("q"), F.avg(F.size("vec")).alias("dim")
-        )
+        placed = cut(todo.mapInArrow(project, "grp string, tree int, path long, rep long, copies long, vec array<double>, p double"))
+        cuts = placed.groupBy(*NODE).agg(F.percentile_approx("p", 0.5, 1000).alias("mid"), F.avg(F.size("vec")).alias("dim"))
         width = F.lit(SPILL) * F.sqrt(F.lit(2 * (1 - threshold)) / F.col("dim"))
-        mid = F.col("q")[1]
-        left = F.col("p") <= F.least(mid + width, F.col("q")[2])
-        right = F.col("p") >= F.greatest(mid - width, F.col("q")[0])
+        left, right = F.col("p") <= F.col("mid") + width, F.col("p") >= F.col("mid") - width
+        sided = cut(placed.join(cuts, NODE).select(*NODE, *cols, left.alias("left"), right.alias("right")))
+        count = cut(sided.groupBy(*NODE).agg(F.count("*").alias("n"), F.greatest(F.count_if("left"), F.count_if("right")).alias("side")))
+        wide = count.where((F.col("side") > F.lit(WIDEST) * F.col("n")) | F.lit(level >= 60)).select(NODE)
+        stop = cut(wide.unionByName(_dense_nodes(sided, count.select(*NODE, "n"), threshold)).distinct())
+        if level == 1:  # a group compared whole needs no other tree
+            stop = stop.groupBy("grp").agg(F.min("tree").alias("tree"), F.min("path").alias("path"))
+        whole = whole.unionByName(sided.join(stop, NODE).join(count.drop("side"), NODE).select(whole.columns))
         sides = F.filter(
-            F.array(F.when(left, F.col("path") * 2), F.when(right, F.col("path") * 2 + 1)), lambda x: x.isNotNull()
+            F.array(F.when(F.col("left"), F.col("path") * 2), F.when(F.col("right"), F.col("path") * 2 + 1)), lambda x: x.isNotNull()
         )
-        split = placed.join(cuts, ["grp", "tree", "path"]).select("grp", "tree", F.explode(sides).alias("path"), "rep", "vec")
+        split = sided.join(stop, "grp" if level == 1 else NODE, "left_anti").select("grp", "tree", F.explode(sides).alias("path"), *cols)
         split = cut(split)
-        n = split.groupBy("grp", "tree", "path").agg(F.count("*").alias("n"))
-        big = split.join(n, ["grp", "tree", "path"])
+        n = split.groupBy(*NODE).agg(F.count("*").alias("n"))
+        big = split.join(n, NODE)
         done = done.unionByName(big.where(F.col("n") <= part).drop("n"))
         todo = big.where(F.col("n") > part).drop("n")
-        if level >= 60 or n.where(F.col("n") > part).limit(1).count() == 0:
-            return done.unionByName(todo) if level >= 60 else done
+        if n.where(F.col("n") > part).limit(1).count() == 0:
+            break
+    whole = cut(whole.withColumn("wid", F.xxhash64("tree", "path")))
+    within = cut(whole.groupBy("grp", "rep").agg(F.collect_set("wid").alias("w")))
+    blocks = F.ceil(F.col("n") / max(1, part // 2)).cast("int")
+    dealt = whole.join(within, ["grp", "rep"]).withColumn("at", F.pmod(F.xxhash64("rep", F.lit(3)), blocks).cast("int"))
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select(*NODE, F.least("at", "o").alias("x"), F.greatest("at", "o").alias("y"), "at", "wid", "w", *cols)
+    done = plain(done.join(within, ["grp", "rep"], "left"), F.coalesce("w", F.array().cast("array<long>")))
+    return plain(fits, F.array().cast("array<long>")).unionByName(done).unionByName(dealt)
 
 
 def near_duplicates(
@@ -177,50 +259,83 @@ def near_duplicates(
     same = F.xxhash64(F.transform("vec", lambda x: x + 0.0)).alias("h")
     keyed = rows.where("ok").select("id", "grp", "vec", same)
     classes = cut(keyed.groupBy("grp", "h", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
-    parts = _parts(classes.select("grp", "rep", "vec"), threshold, trees, part)
+    parts = _parts(classes.select("grp", "rep", "copies", "vec"), threshold, trees, part)
 
     def compare(batches):
+        """(a, b, n): a link (n = 0), an edge of a spanning forest (n = -1), or copies counted for a (b null)."""
         state = {"key": None}
-        ids: list[np.ndarray] = []
-        vecs: list[np.ndarray] = []
+        got: list[pa.RecordBatch] = []
+
+        def out(a, b, n):
+            for i in range(0, len(a), 50_000):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a[i : i + 50_000], pa.int64()), pa.array(b[i : i + 50_000], pa.int64()), pa.array(n[i : i + 50_000], pa.int64())],
+                    names=["a", "b", "n"],
+                )
 
         def flush():
-            if not ids:
+            if not got:
+                return
+            _, tree, _, bx, by = state["key"]
+            rep, copies, at = (np.concatenate([t.column(c).to_numpy(zero_copy_only=False) for t in got]) for c in ("rep", "copies", "at"))
+            vec = np.concatenate([matrix(t.column("vec")) for t in got])
+            w = [v for t in got for v in t.column("w").to_pylist()]
+            wid = got[0].column("wid")[0].as_py()
+            names = sorted({v for r in w for v in r if bx < 0 or v < wid})
+            place = {v: i for i, v in enumerate(names)}
+            within = np.zeros((len(rep), len(names)), np.float32)
+            for i, r in enumerate(w):
+                within[i, [place[v] for v in r if v in place]] = 1
+            if bx < 0:
+                pairs = links_within(vec, threshold, range(trees) if tree < 0 else range(tree, tree + 1), leaf)
+                for i in range(0, len(pairs), 50_000):
+                    p = pairs[i : i + 50_000]
+                    if names:  # those of a node that is compared whole are counted there
+                        p = p[~((within[p[:, 0]] > 0) & (within[p[:, 1]] > 0)).any(axis=1)]
+                    yield from out(rep[p[:, 0]], rep[p[:, 1]], np.zeros(len(p), np.int64))
                 return
-            tree = state["key"][1]
-            rep, x = np.concatenate(ids), np.concatenate(vecs)
-            pairs = links_within(x, threshold, range(trees) if tree < 0 else range(tree, tree + 1), leaf)
-            for i in range(0, len(pairs), 50_000):
-                p = pairs[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(rep[p[:, 0]]), pa.array(rep[p[:, 1]])], names=["a", "b"])
+            f, g = np.flatnonzero(at == bx), np.flatnonzero(at == by)
+            if bx == by:
+                k, _, edges = count_links(vec, None, copies, None, within, None, threshold)
+                order, counts = np.arange(len(rep)), k
+            else:
+                k, m, edges = count_links(vec[f], vec[g], copies[f], copies[g], within[f], within[g], threshold)
+                order, counts = np.concatenate((f, g)), np.concatenate((k, m))
+            some = counts > 0
+            yield from out(rep[order[some]], pa.nulls(int(some.sum()), pa.int64()), counts[some])
+            if edges:
+                e = np.array(edges)
+                yield from out(rep[order[e[:, 0]]], rep[order[e[:, 1]]], np.full(len(e), -1))
 
         for t in batches:
-            keys = list(zip(*(t.column(c).to_pylist() for c in ("grp", "tree", "path")), strict=True))
-            rep = t.column("rep").to_numpy(zero_copy_only=False)
+            keys = list(zip(*(t.column(c).to_pylist() for c in TASK), strict=True))
             starts = [0] + [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]] + [len(keys)]
             for a, b in zip(starts, starts[1:], strict=False):
                 if a == b:
                     continue
                 if keys[a] != state["key"]:
                     yield from flush()
-                    ids, vecs = [], []
+                    got.clear()
                     state["key"] = keys[a]
-                ids.append(rep[a:b])
-                vecs.append(matrix(t.column("vec").slice(a, b - a)))
+                got.append(t.slice(a, b - a))
         yield from flush()
 
-    found = (
-        parts.repartition("grp", "tree", "path")
-        .sortWithinPartitions("grp", "tree", "path")
-        .mapInArrow(compare, "a long, b long")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = cut(
+        parts.repartition(*TASK)
+        .sortWithinPartitions(*TASK)
+        .mapInArrow(compare, "a long, b long, n long")
+        .select(F.least("a", "b").alias("a"), F.when(F.col("b").isNotNull(), F.greatest("a", "b")).alias("b"), "n")
+        # one part's pairs are distinct already; parts of several trees or sides repeat some
+        .groupBy("a", "b", F.least("n", F.lit(1)).alias("kind"))
+        .agg(F.sum("n").alias("n"))
     )
-    # one part's pairs are distinct already; parts of several trees or sides repeat some
-    edges = cut(found.distinct())
+    edges = found.where("kind = 0").select("a", "b")
     size = classes.select("rep", "copies")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(size.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("copies").alias("others"))
-    labels = components(edges).withColumnRenamed("node", "rep")
+    others = both.join(size.withColumnRenamed("rep", "b"), "b").select(F.col("a").alias("rep"), "copies")
+    others = others.unionByName(found.where("kind = 1").select(F.col("a").alias("rep"), F.col("n").alias("copies")))
+    others = others.groupBy("rep").agg(F.sum("copies").alias("others"))
+    labels = components(found.where("kind < 1").select("a", "b")).withColumnRenamed("node", "rep")
     per_class = (
         classes.join(others, "rep", "left")
         .join(labels, "rep", "left")

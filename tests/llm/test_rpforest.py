@@ -74,3 +74,23 @@ def test_edges(spark):
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, n_links string")
     assert {r.id: (r.n_links, r.component_id) for r in rpforest.near_duplicates(df).collect()} == brute(rows)
     assert rpforest.near_duplicates(df.limit(0)).count() == 0
+
+
+def near(rng, n, dim, mean_cosine):
+    base = rng.normal(size=dim)
+    spread = (1 / mean_cosine - 1) ** 0.5 / dim**0.5
+    return base / np.linalg.norm(base) + spread * rng.normal(size=(n, dim))
+
+
+@pytest.mark.parametrize("diffuse", [0, 2400])
+def test_dense_group_larger_than_a_part(spark, diffuse):
+    rng = np.random.default_rng(4)
+    x = np.concatenate((near(rng, 900, 32, 0.97), rng.normal(size=(diffuse, 32))))
+    x[5] = x[6]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.id: (r.n_links, r.component_id) for r in rpforest.near_duplicates(df, part=300, leaf=64).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.93).sum(axis=1) - 1
+    assert {i: n for i, (n, _) in got.items()} == dict(enumerate(links.tolist()))
+    assert all(c == 0 for i, (_, c) in got.items() if i < 900 and links[i])
