@@ -5,8 +5,8 @@ and again at the median of a random direction; vectors near the median go to
 both sides, so that a close pair is seldom parted, and several trees make it
 all but certain that some leaf holds it.  Within a leaf all pairs are compared
 by cosine in double precision, and only verified pairs count.  A node that is
-already dense with links is a leaf whatever its size, and is compared in
-blocks, since splitting would lose links.
+already dense with links, or that the spill band would hardly make smaller, is
+a leaf whatever its size, and is compared in blocks; the band is never cut.
 
 Exact copies form classes first: one vector stands for them, and the number of
 copies enters the counts, so a vector repeated a million times costs one row.
@@ -67,9 +67,9 @@ def leaves(u: np.ndarray, threshold: float, tree: int, leaf: int = LEAF):
             yield at
             continue
         p = u[at] @ _direction(u.shape[1], tree, int(rng.integers(2**31)))
-        lo, mid, hi = np.quantile(p, [0.4, 0.5, 0.6])
-        left, right = p <= min(mid + width, max(hi, mid)), p >= max(mid - width, min(lo, mid))
-        if left.all() or right.all():
+        mid = np.median(p)
+        left, right = p <= mid + width, p >= mid - width
+        if max(left.sum(), right.sum()) > WIDEST * len(at):
             yield at
             continue
         stack += [at[left], at[right]]
@@ -81,8 +81,12 @@ def links_within(x: np.ndarray, threshold: float, trees: range, leaf: int = LEAF
     norm = np.sqrt((x * x).sum(axis=1))
     u = x / norm[:, None]
     found = []
+    whole = False
     for tree in trees:
+        if whole:  # nothing is left to find
+            break
         for at in leaves(u, threshold, tree, leaf):
+            whole = whole or len(at) == n
             for i in range(0, len(at), BLOCK):
                 a = at[i : i + BLOCK]
                 for j in range(i, len(at), BLOCK):

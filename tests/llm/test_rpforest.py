@@ -94,3 +94,12 @@ def test_dense_group_larger_than_a_part(spark, diffuse):
     links = (u @ u.T >= 0.93).sum(axis=1) - 1
     assert {i: n for i, (n, _) in got.items()} == dict(enumerate(links.tolist()))
     assert all(c == 0 for i, (_, c) in got.items() if i < 900 and links[i])
+
+
+@pytest.mark.parametrize("dim, mean_cosine", [(64, 0.9), (32, 0.88)])
+def test_diffuse_group_keeps_its_links(dim, mean_cosine):
+    x = near(np.random.default_rng(6), 4000, dim, mean_cosine)
+    got = rpforest.links_within(x, 0.93, range(rpforest.TREES))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.count_nonzero(np.triu(u @ u.T >= 0.93, 1))
+    assert want >= len(got) >= 0.999 * want > 1000
