@@ -101,8 +101,8 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
 
 
 def floor_of_estimate(threshold: float, m: int = M) -> float:
-    """Three standard errors below the threshold."""
-    return threshold - 3.0 * (threshold * (1 - threshold) / m) ** 0.5
+    """Five standard errors below the threshold: drops a pair there about once in 375,000, far less often than the bands."""
+    return threshold - 5.0 * (threshold * (1 - threshold) / m) ** 0.5
 
 
 _FEATURES = "id long, n_shingles long, fp1 long, fp2 long, sketch binary"

@@ -2,6 +2,7 @@
 
 import random
 import re
+from math import lgamma
 
 import numpy as np
 import pytest
@@ -94,3 +95,18 @@ def test_sketch_merges_and_estimates():
     assert (np.maximum(s[0], s[1]) == s[2]).all()
     j = setsketch.estimate(s[:1], s[1:2], np.array([len(a)]), np.array([len(b)]))[0]
     assert abs(j - 900 / len(union)) < 0.1
+
+
+def test_estimate_drops_fewer_pairs_at_the_threshold_than_the_bands():
+    m, j = setsketch.M, 0.8
+    p = -np.log1p(-(0.5 - 0.5 * j) * (setsketch.B - 1) / setsketch.B) / np.log(setsketch.B)
+    up, down = (x.ravel() for x in np.meshgrid(range(m + 1), range(m + 1)))
+    up, down = up[up + down <= m], down[up + down <= m]
+    lf = np.array([lgamma(i + 1) for i in range(m + 1)])
+    chance = np.exp(lf[m] - lf[up] - lf[down] - lf[m - up - down] + (up + down) * np.log(p) + (m - up - down) * np.log(1 - 2 * p))
+    up, down, chance = (x[chance > 1e-14] for x in (up, down, chance))
+    i = np.arange(m)
+    a = np.where(i < up[:, None], 2, np.where(i < (up + down)[:, None], 0, 1)).astype(np.uint8)
+    size = np.full(len(a), 500.0)
+    dropped = chance[setsketch.estimate(a, np.ones_like(a), size, size) < setsketch.floor_of_estimate(j)].sum()
+    assert 0 < dropped < (1 - j**setsketch.ROWS) ** setsketch.BANDS
