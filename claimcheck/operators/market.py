@@ -38,10 +38,10 @@ def gaps(bars: DataFrame, ranges: DataFrame, cfg: Settings, interval: str | None
     return out.where("n_bars < threshold").select("instrument", "slice_start", "slice_end", "n_bars", "expected_bars", "threshold")
 
 
-def fetch_missing(missing: DataFrame, fetch: Callable, most: int = 10_000) -> tuple[list[DataFrame], list[str]]:
-    """Calls a bar provider for each gap (a list bounded by days); errors are kept, not raised."""
+def fetch_missing(missing: DataFrame, fetch: Callable) -> tuple[list[DataFrame], list[str]]:
+    """Calls a bar provider for each gap, whatever their number; errors are kept, not raised."""
     found, errors = [], []
-    for r in missing.orderBy("instrument", "slice_start").limit(most).collect():
+    for r in missing.orderBy("instrument", "slice_start").toLocalIterator():
         try:
             found.append(fetch(r.instrument, r.slice_start, r.slice_end))
         except Exception as e:  # noqa: BLE001 - a provider's own errors

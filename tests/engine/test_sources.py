@@ -5,7 +5,7 @@ import pytest
 from claimcheck import cli, config, report, resolver
 from claimcheck.config import Settings
 from claimcheck.functions import scalars as S
-from claimcheck.operators import classify, link
+from claimcheck.operators import classify, link, market
 from claimcheck.plans.stages import Pipeline
 from claimcheck.sources import bars, chat, groups, store
 from tests.engine import helpers as h
@@ -163,3 +163,15 @@ def test_command_line_and_report(spark, csv_dir, tmp_path):
     assert spark.read.csv(str(tmp_path / "d"), header=True).count() == 1
     assert classify.classify(h.messages(spark, []), Settings()).count() == 0
     report.write_csv(spark.createDataFrame([([1, 2],)], "a array<int>"), str(tmp_path / "arr"))
+
+
+def test_all_gaps_are_fetched(spark):
+    gaps = spark.range(10_003).selectExpr("concat('I', id % 7) AS instrument", "timestamp_ntz '2020-01-01' + make_dt_interval(cast(id AS int)) AS slice_start", "timestamp_ntz '2020-01-02' AS slice_end")
+
+    def fetch(instrument, start, end):
+        if start.year == 2020 and start.month == 1 and start.day == 1:
+            raise OSError("none")
+        return start
+
+    found, errors = market.fetch_missing(gaps, fetch)
+    assert len(found) == 10_002 and len(set(found)) == 10_002 and len(errors) == 1
