@@ -8,11 +8,11 @@ format's values, so equal values get equal pseudonyms in all documents, no two
 values get one, and whoever has the key can go back.
 
     card    13-19 digits with a Luhn check digit; first digit kept, check digit made anew
-    iban    mod-97 valid; digits of the account permuted, check digits made anew
+    iban    mod-97 valid, check digits 02 to 98; digits of the account permuted, check digits made anew
     ssn     valid area-group-serial
     phone   North American; area and exchange from 200 stay so, others keep their first digits
     intl    + and 8-15 digits; the first two kept
-    ip      four octets of at most 255
+    ip      four octets of at most 255 without leading zeros
     date    1900-01-01 to 2099-08-04 as y-m-d, y/m/d, m/d/y or d.m.y with two-digit days and months
     email   letters and digits of the name permuted by class; the domain kept
 """
@@ -24,7 +24,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "claimcheck-demo-key"
 ROUNDS = 8
 DATE_FROM, DATE_SIDE = "1900-01-01", 270  # 270 * 270 days
 
@@ -137,7 +136,8 @@ def _iban(m, key, inverse):
     )
     body = _refill(tail, fresh)
     check = F.lit(98) - _mod97(F.concat(body, country, F.lit("00")))
-    ok = (_mod97(F.concat(tail, F.substring(m, 1, 4))) == 1) & (d != "")
+    # 98 - remainder gives 02 to 98: other check digits would share a pseudonym with one of these
+    ok = (_mod97(F.concat(tail, F.substring(m, 1, 4))) == 1) & (d != "") & F.substring(m, 3, 2).between("02", "98")
     return ok, F.concat(country, F.lpad(check.cast("string"), 2, "0"), body)
 
 
@@ -146,7 +146,7 @@ def _ip(m, key, inverse):
     x = ((o[0] * 256 + o[1]) * 256 + o[2]) * 256 + o[3]
     y = feistel(x, _long(65536), _long(65536), key, F.lit("ip"), inverse)
     parts = [F.shiftright(y, 24 - 8 * i).bitwiseAND(F.lit(255).cast("long")).cast("string") for i in range(4)]
-    return F.greatest(*o) <= 255, F.concat_ws(".", *parts)
+    return (F.greatest(*o) <= 255) & ~m.rlike(r"(^|\.)0[0-9]"), F.concat_ws(".", *parts)
 
 
 def _date(m, key, inverse):
@@ -258,16 +258,19 @@ def _count(kinds: Column, kind: str) -> Column:
     return F.when(F.size("__found") > 0, F.size(F.filter(kinds, lambda x: x == kind))).otherwise(0)
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, inverse: bool = False, counts: bool = True) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", inverse: bool = False, counts: bool = True) -> DataFrame:
     """``docs`` with pseudonyms in ``text_col`` and, if asked, n_<kind> counts.
 
-    ``inverse`` with the same key restores the values.
+    ``key`` is the secret: whoever has it restores the values by ``inverse``.
 
     Defined cases: a null text stays null and counts 0; an empty text stays
-    empty; values that are not valid stay; all other columns stay, but columns
-    named n_<kind> are replaced by the counts; an empty table gives an empty
-    result.  Row-wise, so no shuffle and no skew.
+    empty; values that are not valid stay, such as addresses with leading zeros
+    in an octet; repeated rows get the same text; all other columns stay, but
+    columns named n_<kind> are replaced by the counts; an empty table gives an
+    empty result; an empty key is an error.  Row-wise, so no shuffle and no skew.
     """
+    if not key:
+        raise ValueError("a key is needed")
     t = F.col(f"`{text_col}`").cast("string")
     keep = [c for c in docs.columns if not (counts and c in {f"n_{k}" for k in KINDS}) and c != text_col]
     found = docs.withColumn("__found", F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>")))

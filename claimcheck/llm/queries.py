@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from claimcheck.llm import chat, mixing, nndescent, packing, pii, rpforest, setsketch, spm, toxicity, warc
 
 
+DEMO_KEY = "claimcheck-demo-key"  # of the test queries; real data needs a secret of its own
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,7 +32,7 @@ def op2_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms for personal data, and how many of each kind."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs)
+    return pii.pseudonymise(docs, DEMO_KEY)
 
 
 def op4_forest_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,11 @@ import hashlib
 import re
 from datetime import date, timedelta
 
+import pytest
+
 from claimcheck.llm import pii
 
-KEY = pii.KEY
+KEY = "a secret of the tests"
 
 
 def prf(tag, i, v):
@@ -48,7 +50,7 @@ def card(m):
 
 def ip(m):
     o = [int(x) for x in m.split(".")]
-    if max(o) > 255:
+    if max(o) > 255 or any(x != str(int(x)) for x in m.split(".")):
         return m
     y = feistel(int.from_bytes(bytes(o), "big"), 65536, 65536, "ip")
     return ".".join(map(str, y.to_bytes(4, "big")))
@@ -117,14 +119,14 @@ def brute(text):
 
 def test_documents_match_brute_force_and_come_back(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    out = pii.pseudonymise(docs)
+    out = pii.pseudonymise(docs, KEY)
     rows = {r.doc_id: r for r in out.collect()}
     changed = 0
     for r in docs.collect():
         assert rows[r.doc_id].text == brute(r.text), r.doc_id
         changed += rows[r.doc_id].text != r.text
     assert changed > 20
-    back = {r.doc_id: r.text for r in pii.pseudonymise(out, inverse=True, counts=False).collect()}
+    back = {r.doc_id: r.text for r in pii.pseudonymise(out, KEY, inverse=True, counts=False).collect()}
     assert all(back[r.doc_id] == r.text for r in docs.collect())
 
 
@@ -143,10 +145,10 @@ SAMPLES = [
 
 def test_formats_stay_valid_linked_and_invertible(spark):
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(SAMPLES)], "doc_id int, text string")
-    out = pii.pseudonymise(df)
+    out = pii.pseudonymise(df, KEY)
     rows = {r.doc_id: r for r in out.collect()}
-    again = {r.doc_id: r for r in pii.pseudonymise(out).collect()}
-    back = {r.doc_id: r.text for r in pii.pseudonymise(out, inverse=True).collect()}
+    again = {r.doc_id: r for r in pii.pseudonymise(out, KEY).collect()}
+    back = {r.doc_id: r.text for r in pii.pseudonymise(out, KEY, inverse=True).collect()}
     for i, (kind, t) in enumerate(SAMPLES):
         assert rows[i][f"n_{kind}"] > 0 and rows[i].text != t
         assert again[i][f"n_{kind}"] == rows[i][f"n_{kind}"]  # pseudonyms are valid in their turn
@@ -154,10 +156,43 @@ def test_formats_stay_valid_linked_and_invertible(spark):
         for word in (t.split("not ")[1].split(" or ") if "not " in t else []):
             assert word.strip() in rows[i].text
     two = spark.createDataFrame([(1, "x 212-555-0147"), (2, "212-555-0147 y")], "doc_id int, text string")
-    a, b = (r.text for r in pii.pseudonymise(two).orderBy("doc_id").collect())
+    a, b = (r.text for r in pii.pseudonymise(two, KEY).orderBy("doc_id").collect())
     assert a.split()[1] == b.split()[0]
 
 
+def test_addresses_stay_apart_and_come_back(spark):
+    odd = ["010.000.000.001", "10.0.0.1", "10.0.0.01", "00.0.0.0", "0.0.0.0", "255.255.255.255", "1.2.3.004", "1.2.3.4", "192.168.1.1"]
+    odd += [f"10.{i}.0.{j}" for i in range(12) for j in range(12)]
+    df = spark.createDataFrame([(i, f"at {x} now") for i, x in enumerate(odd)], "doc_id int, text string")
+    out = pii.pseudonymise(df, KEY)
+    new = {r.doc_id: r.text for r in out.collect()}
+    assert len(set(new.values())) == len(set(odd))
+    assert {r.doc_id: r.text for r in pii.pseudonymise(out, KEY, inverse=True).collect()} == {i: f"at {x} now" for i, x in enumerate(odd)}
+    assert all((new[i] == f"at {x} now") == any(p != str(int(p)) for p in x.split(".")) for i, x in enumerate(odd))
+
+
+def test_iban_check_digits_outside_the_rule_stay(spark):
+    body, country = "370400440532013000", "DE"
+
+    def rest(check):
+        return int("".join(str(int(c, 36)) for c in body + country + check)) % 97
+
+    same = [f"{i:02d}" for i in range(100) if rest(f"{i:02d}") == 1]
+    texts = [f"{country}{c}{body}" for c in same] + [f"FR{i:02d}20041010050500013M02606" for i in range(100)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    out = pii.pseudonymise(df, KEY)
+    new = {r.doc_id: r.text for r in out.collect()}
+    assert len(set(new.values())) == len(set(texts))
+    assert {r.doc_id: r.text for r in pii.pseudonymise(out, KEY, inverse=True).collect()} == dict(enumerate(texts))
+
+
+def test_a_key_is_needed_and_decides(spark):
+    df = spark.createDataFrame([("at 10.0.0.1",)], "text string")
+    assert pii.pseudonymise(df, "one").first().text != pii.pseudonymise(df, "two").first().text
+    with pytest.raises(ValueError):
+        pii.pseudonymise(df, "")
+
+
 def test_permutation_of_a_small_range(spark):
     from pyspark.sql import functions as F
 
@@ -168,8 +203,8 @@ def test_permutation_of_a_small_range(spark):
 
 def test_edges(spark):
     df = spark.createDataFrame([(None, None, "a"), (1, "", "b"), (2, "x " * 100000 + "10.0.0.1", "c"), (3, "10.0.0.1", "d"), (3, "10.0.0.1", "d")], "doc_id int, text string, n_ip string")
-    out = pii.pseudonymise(df)
+    out = pii.pseudonymise(df, KEY)
     assert out.columns[:2] == ["doc_id", "text"] and dict(out.dtypes)["n_ip"] == "int"
     rows = {r.doc_id: r for r in out.collect()}
     assert rows[None].text is None and rows[1].text == "" and rows[2].text.split()[-1] == rows[3].text == ip("10.0.0.1")
-    assert pii.pseudonymise(df.limit(0)).count() == 0
+    assert pii.pseudonymise(df.limit(0), KEY).count() == 0
