@@ -20,7 +20,8 @@ _TABLE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64
 _TABLE[ord("A") : ord("Z") + 1] = _TABLE[ord("a") : ord("z") + 1]
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_STEP = np.uint64(0xD6E8FEB86659FD93)
+_STEP = 0xD6E8FEB86659FD93
+_ALL = (1 << 64) - 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -90,30 +91,60 @@ class Hashes:
         np.cumsum(_TABLE[data] * _power(_BASE, len(data)), out=self.sums[1:])
         self.back = _power(_INVERSE, len(data) + 1)
 
+    def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.sums[end] - self.sums[start]) * self.back[start]
+
     def of(self, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-        h = (self.sums[end] - self.sums[start]) * self.back[start]
-        return mix(h + np.uint64(seed * int(_STEP) % (1 << 64)))
+        return mix(self.raw(start, end) + np.uint64(seed * _STEP & _ALL))
+
+
+def long_text(data: np.ndarray) -> np.ndarray:
+    """Hashes of the words of one long text, which is gone through in pieces of SLICE_BYTES."""
+    out, open_hash, open_length = [], 0, 0  # of a word that goes on in the next piece
+    for i in range(0, len(data), SLICE_BYTES):
+        piece = data[i : i + SLICE_BYTES]
+        start, end, _ = words(piece, np.array([0, len(piece)]))
+        raw = Hashes(piece).raw(start, end)
+        if open_length:
+            if len(start) and start[0] == 0:
+                raw[0] = (open_hash + int(raw[0]) * pow(_BASE, open_length, 1 << 64)) & _ALL
+            else:
+                out.append(np.array([open_hash], np.uint64))
+                open_length = 0
+        if len(end) and end[-1] == len(piece) and i + len(piece) < len(data):
+            open_hash, open_length = int(raw[-1]), int(end[-1] - start[-1]) + (open_length if len(end) == 1 and start[0] == 0 else 0)
+            raw = raw[:-1]
+        else:
+            open_length = 0
+        out.append(raw)
+    if open_length:
+        out.append(np.array([open_hash], np.uint64))
+    return mix(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int):
     """(values, bounds): each document's distinct k-word shingle hashes, sorted.
 
     A text of fewer than k words gives its whole sequence as one shingle; a
-    text without words gives none.
+    text without words gives none.  A long text takes 8 bytes a word a few
+    times over, not a byte.
     """
-    start, end, doc = words(data, off)
     docs = len(off) - 1
-    if not len(start):
+    if docs == 1 and len(data) > 2 * SLICE_BYTES:
+        h = long_text(data)
+        count = np.array([len(h)])
+    else:
+        start, end, doc = words(data, off)
+        h = Hashes(data).of(start, end)
+        count = np.bincount(doc, minlength=docs)
+    if not len(h):
         return np.zeros(0, np.uint64), np.zeros(docs + 1, np.int64)
-    h = Hashes(data).of(start, end)
-    count = np.bincount(doc, minlength=docs)
+    doc = np.repeat(np.arange(docs, dtype=np.int32), count)
     at = np.concatenate(([0], np.cumsum(count)))
     full = max(0, len(h) - k + 1)
     acc = h[:full].copy()
-    factor = np.uint64(1)
     for j in range(1, k):
-        factor = factor * _STEP
-        acc += h[j : j + full] * factor
+        acc += h[j : j + full] * np.uint64(pow(_STEP, j, 1 << 64))
     inside = doc[:full] == doc[k - 1 : k - 1 + full]
     acc = mix(acc[inside] + np.uint64(k))
     n = np.where(count >= k, count - k + 1, (count > 0).astype(np.int64))
@@ -122,10 +153,8 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, k: int):
     whole = np.repeat(count >= k, n)
     out[whole] = acc
     for d in np.flatnonzero((count > 0) & (count < k)):
-        f, total = np.uint64(1), np.uint64(0)
-        for x in h[at[d] : at[d + 1]]:
-            total, f = total + x * f, f * _STEP
-        out[bounds[d]] = mix(np.array([total + np.uint64(count[d])], np.uint64))[0]
+        total = sum(x * pow(_STEP, j, 1 << 64) for j, x in enumerate(h[at[d] : at[d + 1]].tolist()))
+        out[bounds[d]] = mix(np.array([(total + int(count[d])) & _ALL], np.uint64))[0]
     sizes = np.zeros(docs, np.int64)
     keep = np.ones(len(out), bool)
     for d in range(docs):
