@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -16,7 +17,7 @@ ARROW_ROWS = 512  # rows of whole texts in one Arrow batch; bounds a worker's me
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, a checkpoint folder, and this package on the workers."""
+    """Small Arrow batches (for the rest of the session), a checkpoint folder, and this package on the workers."""
     sc = spark.sparkContext
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     shared_dir(spark)
@@ -40,12 +41,14 @@ def _package_zip() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    ``spark.checkpoint.dir`` names it on a cluster; only where that is unset
-    (tests on one machine) is a temporary folder taken.
+    ``spark.checkpoint.dir`` names it; only where that is unset and Spark runs
+    in one process (tests) is a temporary folder taken.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
+        if configured is None and not re.match(r"local($|\[)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(configured or "file://" + tempfile.mkdtemp(prefix="claimcheck-shared-"))
     return configured or os.path.dirname(sc.getCheckpointDir())
 
@@ -64,6 +67,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def broadcast_if(df: DataFrame, most: int) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most`` rows; else as it is, for a join by shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable from each node of an edge.
 

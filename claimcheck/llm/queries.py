@@ -26,7 +26,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 2-word shingle sets have a similarity of 0.8 or more."""
     out = setsketch.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, num=80, den=100)
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+    kept = F.col("id").eqNullSafe(F.col("component_id"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
 
 
 def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,12 +9,15 @@ register that has a value after step j is final, and a large set is done
 after few steps.  Sketches merge by the maximum of each register, and equal
 registers become as likely as the Jaccard similarity.
 
-Search: registers are banded; each bucket sends its members to the member
-that shares most buckets overall, the estimate by likelihood drops hopeless
-pairs, and the rest is verified on the full sets.  Members that are then still
-apart from the largest component of their bucket are compared, in blocks,
-with every member of another component.  No pair of a bucket is left out and
-no bucket has a cap; a large group costs about one comparison a member.
+Search: registers are banded, and the centre of a bucket is the member that
+shares most buckets overall.  Each member first goes to one centre, that of the
+densest of its buckets; the estimate by likelihood drops hopeless pairs, and
+the rest is verified on the full sets.  Members of buckets that are still split
+between components then go to their other centres.  What is left outside its
+bucket's largest component after that is compared with every member of another
+component, sketches first and texts only where a likely pair is.  No pair of a
+bucket is left out and no bucket has a cap; a large group costs about one
+comparison a member.
 """
 
 from __future__ import annotations
@@ -25,13 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimcheck.llm import _words
-from claimcheck.llm._util import components, cut, prepare
+from claimcheck.llm._util import broadcast_if, components, cut, prepare
 
 M = 256  # registers, a power of two
 B = 1.1  # base of the register scale
 RATE = 20.0  # rate of the exponential law: keeps one-element sets inside the scale
 BANDS, ROWS = 32, 6  # at a similarity of 0.8 a pair shares no band once in 16,000
-BLOCK = 512  # rows of a block in the comparison of what is left apart
+BLOCK = 512  # texts of a block in the comparison of what is left apart
+COARSE = 8  # so many blocks of texts make a block of sketches
+BROADCAST_GROUPS = 200_000  # at most so many sizes of groups are broadcast
+BROADCAST_KEYS = 100_000  # and so many keys of texts
 
 
 # ---------------------------------------------------------------- sketches
@@ -105,17 +111,23 @@ def floor_of_estimate(threshold: float, m: int = M) -> float:
     return threshold - 5.0 * (threshold * (1 - threshold) / m) ** 0.5
 
 
-_FEATURES = "id long, n_shingles long, fp1 long, fp2 long, sketch binary"
+_FEATURES = "id long, th long, n_shingles long, fp1 long, fp2 long, sketch binary"
 
 
-def features(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """Set size, a 128-bit fingerprint of the set and the sketch of each text."""
-    prepare(docs.sparkSession)
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, th, text): a row is known by its id and the hash of its text, as rows may share an id."""
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+
+
+def features(texts: DataFrame, k: int) -> DataFrame:
+    """Set size, a 128-bit fingerprint of the set and the sketch of each text of ``keyed_texts``."""
+    prepare(texts.sparkSession)
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
-            for first, data, off in _words.slices(batch.column(1)):
+            ids, hashes = batch.column(0), batch.column(1)
+            for first, data, off in _words.slices(batch.column(2)):
                 values, bounds = _words.shingle_sets(data, off, k)
                 size = np.diff(bounds)
                 reg = sketches(values, bounds)
@@ -126,24 +138,29 @@ def features(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
                     prints.append((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(first, len(size)).cast(pa.int64()),
+                        ids.slice(first, len(size)),
+                        hashes.slice(first, len(size)),
                         pa.array(size, pa.int64()),
                         *(pa.array(p) for p in prints),
                         pa.array([r.tobytes() for r in reg], pa.binary()),
                     ],
-                    names=["id", "n_shingles", "fp1", "fp2", "sketch"],
+                    names=["id", "th", "n_shingles", "fp1", "fp2", "sketch"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, _FEATURES
-    )
+    return texts.mapInArrow(run, _FEATURES)
 
 
 # ---------------------------------------------------------------- pairs
 
+_PAIR = ["a", "ida", "tha", "b", "idb", "thb"]
+_PAIR_SCHEMA = ", ".join(f"{c} long" for c in _PAIR)
 
-def _pair_filter(pairs: DataFrame, least: float) -> DataFrame:
-    """Keeps (a, b) of (a, b, na, nb, sa, sb) whose estimate reaches ``least``."""
+
+def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """The (a, b) of ``pairs`` whose estimate reaches ``least``, with the keys of their texts."""
+    side = lambda n: classes.select(
+        F.col("node").alias(n), F.col("id").alias("id" + n), F.col("th").alias("th" + n), F.col("n_shingles").alias("n" + n), F.col("sketch").alias("s" + n)
+    )
 
     def run(batches):
         for t in batches:
@@ -152,30 +169,27 @@ def _pair_filter(pairs: DataFrame, least: float) -> DataFrame:
             x, y = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint8).reshape(-1, M) for c in ("sa", "sb"))
             na, nb = (t.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("na", "nb"))
             keep = pa.array(estimate(x, y, na, nb) >= least)
-            yield pa.RecordBatch.from_arrays([t.column("a").filter(keep), t.column("b").filter(keep)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([t.column(c).filter(keep) for c in _PAIR], names=_PAIR)
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, _PAIR_SCHEMA)
 
 
-def verify(
-    pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int, per_task: int = 256
-) -> DataFrame:
-    """Those (a, b) of distinct ``pairs`` with den * |A and B| >= num * |A or B| on full sets.
+def verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, per_task: int = 256) -> DataFrame:
+    """Those (a, b) of distinct ``pairs`` (as of ``_likely``) with den * |A and B| >= num * |A or B| on full sets.
 
     ``a`` is the side that many pairs share: its text is sent once for each
     ``per_task`` of its partners, and a task holds the set of one ``a`` and one
     batch of partners.  Texts are joined to what is wanted of them in one join.
     """
-    p = cut(pairs.select("a", "b"))
-    hub = p.groupBy("a").agg(F.ceil(F.count("*") / per_task).cast("int").alias("shards"))
+    p = cut(pairs)
+    hub = p.groupBy("a", "ida", "tha").agg(F.ceil(F.count("*") / per_task).cast("int").alias("shards"))
     hubs = hub.select(
-        F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(None).cast("long").alias("b")
+        F.col("ida").alias("id"), F.col("tha").alias("th"), "a", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(None).cast("long").alias("b")
     )
-    partners = p.join(hub, "a").select(
-        F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("shards")).cast("int").alias("shard"), "b"
+    partners = p.join(hub.select("a", "shards"), "a").select(
+        F.col("idb").alias("id"), F.col("thb").alias("th"), "a", F.pmod(F.xxhash64("b"), F.col("shards")).cast("int").alias("shard"), "b"
     )
     wanted = cut(hubs.unionByName(partners))
-    text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         hub_id, hub_set = None, None
@@ -198,7 +212,7 @@ def verify(
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     return (
-        text.join(wanted.hint("merge"), "id")
+        _fetched(texts, wanted)
         .select("a", "shard", "b", "text")
         .repartition("a", "shard")
         .sortWithinPartitions("a", "shard", F.col("b").asc_nulls_first())
@@ -206,39 +220,100 @@ def verify(
     )
 
 
-def _apart(
-    members: DataFrame, labels: DataFrame, sketch: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int
-) -> DataFrame:
+def _fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` with the texts of its (id, th); a null id is an id.
+
+    A few keys are broadcast, so that only their texts are shuffled.
+    """
+    key = lambda df: df.withColumns({"__id": F.coalesce("id", F.lit(0)), "__null": F.col("id").isNull()}).drop("id")
+    on = ["__id", "__null", "th"]
+    texts, wanted = key(texts), key(wanted)
+    keys = wanted.select(on).distinct()
+    if keys.count() <= BROADCAST_KEYS:
+        texts = texts.join(F.broadcast(keys), on, "left_semi")
+    return texts.join(wanted.hint("merge"), on)
+
+
+_APART = "grp long, x int, y int, node long, id long, th long, comp long, odd boolean, n_shingles long, sketch binary"
+_APART_COLS = [c.split()[0] for c in _APART.split(", ")]
+
+
+def _near(sa: np.ndarray, sb: np.ndarray, n: float, nb: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Rows of ``sb`` that share a band with ``sa`` and whose set sizes allow a link."""
+    j = np.flatnonzero(np.minimum(nb, n) * den >= np.maximum(nb, n) * num)
+    same = sb[j, : BANDS * ROWS] == sa[: BANDS * ROWS]
+    return j[same.reshape(len(j), BANDS, ROWS).all(axis=2).any(axis=1)]
+
+
+def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Links (a, b) between members of one bucket that are in different components.
 
     In each bucket the largest component is taken as settled; a member outside
     it is odd there.  All odd members of a component's buckets are compared
-    with one another and with the component's members in those buckets: pairs
-    that share a band and whose estimate is high enough are verified on their
-    full sets at once.  Both sides are dealt in blocks, so a task holds two
-    blocks however large the component is, and only links are returned.
+    with one another and with the component's members in those buckets.  Both
+    sides are dealt in blocks, so a task holds two blocks however large the
+    component is.  Sketches go first, in blocks of COARSE * BLOCK rows; only
+    rows with a likely partner in a pair of text blocks have their texts sent
+    there, and pairs are verified on their full sets at once.  Only links are
+    returned.
     """
     least = floor_of_estimate(num / den)
-    m = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+    m = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
     split = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     m = cut(m.join(split, "key"))
     sizes = m.groupBy("key", "comp").agg(F.count("*").alias("c"))
     main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("c", -F.col("comp"))).alias("grp"))
-    rows = m.join(main, "key").groupBy("grp", "rep", "comp").agg(F.lit(1).alias("one")).select("grp", "rep", "comp", (F.col("comp") != F.col("grp")).alias("odd"))
+    rows = m.join(main, "key").groupBy("grp", "node", "comp").agg(F.lit(1).alias("one")).select("grp", "node", "comp", (F.col("comp") != F.col("grp")).alias("odd"))
     rows = cut(rows)
-    count = rows.groupBy("grp").agg(F.count_if("odd").alias("n_odd"), F.count("*").alias("n"))
-    rows = rows.join(count, "grp")
-    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
-    own = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), blocks(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    odd = rows.where("odd").withColumn("x", own("n_odd", 1)).withColumn("y", every("n")).withColumn("side", F.lit(0))
-    both = rows.withColumn("y", own("n", 2)).withColumn("x", every("n_odd")).withColumn("side", F.lit(1))
-    cols = ["grp", "x", "y", "side", "rep", "comp", "odd"]
-    wanted = cut(odd.select(cols).unionByName(both.select(cols)).join(sketch, "rep"))
-    text = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
+    # groups of one block need no size, so what is joined has one row for each BLOCK rows at most
+    count = cut(rows.groupBy("grp").agg(F.count_if("odd").alias("n_odd"), F.count("*").alias("n")).where(F.col("n") > BLOCK))
+    rows = rows.join(broadcast_if(count, BROADCAST_GROUPS), "grp", "left")
+    blocks = lambda n, size: F.coalesce(F.greatest(F.lit(1), F.ceil(F.col(n) / size)), F.lit(1)).cast("int")
+    own = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), blocks(n, BLOCK)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n, BLOCK * COARSE) - 1))
+    coarse = lambda c: F.floor(F.col(c) / COARSE).cast("int")
+    odd = rows.where("odd").withColumn("x", own("n_odd", 1)).withColumn("bx", coarse("x")).withColumn("by", every("n")).withColumn("y", F.lit(-1))
+    both = rows.withColumn("y", own("n", 2)).withColumn("by", coarse("y")).withColumn("bx", every("n_odd")).withColumn("x", F.lit(-1))
+    cols = ["grp", "bx", "by", "x", "y", "node", "comp", "odd"]
+    sketched = odd.select(cols).unionByName(both.select(cols)).join(classes.select("node", "id", "th", "n_shingles", "sketch"), "node")
+
+    def likely(part):
+        """Rows of a pair of coarse blocks that have a likely partner, by pair of text blocks."""
+        xs, ys, comp, odd, n = (part.column(c).to_numpy(zero_copy_only=False) for c in ("x", "y", "comp", "odd", "n_shingles"))
+        node = part.column("node").to_numpy(zero_copy_only=False)
+        left, right = np.flatnonzero(xs >= 0), np.flatnonzero(xs < 0)
+        if not len(left) or not len(right):
+            return
+        s = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, M)
+        sb, nb, cb, ob, idb, yb = s[right], n[right].astype(float), comp[right], odd[right], node[right], ys[right]
+        hits = set()
+        for i in left.tolist():
+            j = _near(s[i], sb, float(n[i]), nb, num, den)
+            j = j[(cb[j] != comp[i]) & (~ob[j] | (idb[j] > node[i]))]
+            if not len(j):
+                continue
+            j = j[estimate(np.broadcast_to(s[i], (len(j), M)), sb[j], np.full(len(j), float(n[i])), nb[j]) >= least]
+            hits.update((i, int(xs[i]), y) for y in np.unique(yb[j]).tolist())
+            hits.update((int(right[q]), int(xs[i]), int(yb[q])) for q in j.tolist())
+        if hits:
+            at, x, y = map(np.array, zip(*sorted(hits), strict=True))
+            t = part.take(pa.array(at))
+            side = pa.array(xs[at] < 0)
+            fixed = [t.column("grp"), pa.array(x, pa.int32()), pa.array(y, pa.int32()), side]
+            yield pa.RecordBatch.from_arrays([*fixed, *(t.column(c) for c in _APART_COLS[3:])], names=["grp", "x", "y", "right", *_APART_COLS[3:]])
+
+    def search(batches):
+        for part in _grouped(batches, ["grp", "bx", "by"]):
+            yield from likely(part)
+
+    wanted = cut(
+        sketched.repartition("grp", "bx", "by")
+        .sortWithinPartitions("grp", "bx", "by")
+        .mapInArrow(search, _APART.replace("y int,", "y int, right boolean,"))
+    )
 
     def compare(rows):
-        left, right = [r for r in rows if r[0] == 0], [r for r in rows if r[0] == 1]
+        left, right = [r for r in rows if not r[0]], [r for r in rows if r[0]]
         found = []
         if not left or not right:
             return found
@@ -247,9 +322,9 @@ def _apart(
         sb = np.frombuffer(b"".join(r[5] for r in right), np.uint8).reshape(-1, M)
         odd_b = np.array([r[3] for r in right])
         for _, i, comp, _, n, raw, mine in left:
-            j = np.flatnonzero((cb != comp) & (~odd_b | (ib > i)) & (np.minimum(nb, n) * den >= np.maximum(nb, n) * num))
             sa = np.frombuffer(raw, np.uint8)
-            j = j[(sb[j, : BANDS * ROWS] == sa[: BANDS * ROWS]).reshape(len(j), BANDS, ROWS).all(axis=2).any(axis=1)]
+            j = _near(sa, sb, n, nb, num, den)
+            j = j[(cb[j] != comp) & (~odd_b[j] | (ib[j] > i))]
             if len(j):
                 est = estimate(np.broadcast_to(sa, (len(j), M)), sb[j], np.full(len(j), float(n)), nb[j])
                 joined = set()  # one link to a component joins all of it
@@ -262,7 +337,7 @@ def _apart(
     def run(batches):
         group, rows = None, []
         for t in batches:
-            meta = list(zip(*(t.column(c).to_pylist() for c in ("grp", "x", "y", "side", "rep", "comp", "odd", "n_shingles", "sketch")), strict=True))
+            meta = list(zip(*(t.column(c).to_pylist() for c in ("grp", "x", "y", "right", "node", "comp", "odd", "n_shingles", "sketch")), strict=True))
             for first, data, off in _words.slices(t.column("text")):
                 values, bounds = _words.shingle_sets(data, off, k)
                 for i in range(len(off) - 1):
@@ -276,13 +351,35 @@ def _apart(
             yield _pairs(found)
 
     return (
-        text.join(wanted.hint("merge"), "rep")
+        _fetched(texts, wanted)
         .repartition("grp", "x", "y")
         .sortWithinPartitions("grp", "x", "y")
         .mapInArrow(run, "a long, b long")
     )
 
 
+def _grouped(batches, keys: list[str]):
+    """The rows of each value of ``keys`` as one batch, from batches sorted by them."""
+    held, now = [], None
+    for t in batches:
+        if not t.num_rows:
+            continue
+        cols = [t.column(c).to_numpy(zero_copy_only=False) for c in keys]
+        new = np.zeros(t.num_rows, bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        starts = [0, *np.flatnonzero(new).tolist(), t.num_rows]
+        for a, b in zip(starts, starts[1:], strict=False):
+            key = tuple(c[a] for c in cols)
+            if held and key != now:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            now = key
+            held.append(t.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     """den * |A and B| >= num * |A or B| for sorted sets; an empty set links with nothing."""
     if not a.size or not b.size:
@@ -309,55 +406,65 @@ def near_duplicates(
     num: int = 80,
     den: int = 100,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row.
+    """(id, th, n_shingles, component_id, kept) of every row; ``th`` is the xxhash64 of its text.
 
     Documents are linked when den * |A and B| >= num * |A or B| on their sets
     of distinct ``shingle_words``-word shingles; ``component_id`` is the
-    smallest id reachable by links, ``kept`` marks it.
-
-    Defined cases: null, empty and blank texts have an empty set and link with
-    nothing; texts of fewer words have one shingle, the whole sequence; exact
-    copies share one component; repeated ids give repeated rows; rows with a
-    null id are not returned; other columns of ``docs`` are ignored; an empty
-    table gives an empty result.
+    smallest id reachable by links, and ``kept`` marks one text of each
+    component: that of the smallest id, and of these the one of the smallest
+    ``th``.
+
+    Defined cases: null, empty and blank texts have an empty set, link with
+    nothing and are kept; texts of fewer words have one shingle, the whole
+    sequence; exact copies share one component; rows are compared by their
+    texts, so rows that share an id but not the text may be in different
+    components; rows that repeat id and text give equal rows; rows with a null
+    id take part, come after all others in the choice of what is kept, and
+    have a null ``component_id`` where no id is reachable; other columns of
+    ``docs`` are ignored; an empty table gives an empty result.
     """
-    spark = prepare(docs.sparkSession)
-    docs = docs.where(F.col(id_col).isNotNull())
-    feats = cut(features(docs, id_col, text_col, shingle_words))
-    reps = (
+    prepare(docs.sparkSession)
+    texts = keyed_texts(docs, id_col, text_col)
+    feats = cut(features(texts, shingle_words))
+    order = F.struct(F.col("id").isNull(), "id", "th")
+    classes = (
         feats.where("n_shingles > 0")
         .groupBy("fp1", "fp2", "n_shingles")
-        .agg(F.min_by(F.struct("id", "sketch"), "id").alias("r"))
-        .select("fp1", "fp2", "n_shingles", F.col("r.id").alias("rep"), F.col("r.sketch").alias("sketch"))
+        .agg(F.min_by(F.struct("id", "th", "sketch"), order).alias("r"))
+        .select("fp1", "fp2", "n_shingles", "r.id", "r.th", "r.sketch", F.monotonically_increasing_id().alias("node"))
     )
-    reps = cut(reps)
-    sketch = reps.select("rep", "n_shingles", "sketch")
-    keyed = reps.select(
-        "rep",
+    classes = cut(classes)  # which also fixes the node numbers
+    keyed = classes.select(
+        "node",
         F.explode(F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * ROWS + 1, ROWS)) for i in range(BANDS)])).alias("key"),
     )
     shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = cut(keyed.join(shared, "key"))
-    density = members.groupBy("rep").agg(F.sum("c").alias("density"))
-    center = (
-        members.join(density, "rep").groupBy("key").agg(F.max_by("rep", F.struct("density", -F.col("rep"))).alias("center"))
-    )
-    members = cut(members.join(center, "key").select("key", "rep", "center"))
-    star = members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
+    density = members.groupBy("node").agg(F.sum("c").alias("density"))
+    centre = members.join(density, "node").groupBy("key").agg(F.max(F.struct("density", (-F.col("node")).alias("m"))).alias("c"))
+    members = cut(members.select("key", "node").join(centre.select("key", (-F.col("c.m")).alias("centre"), "c.density"), "key"))
     least = floor_of_estimate(num / den)
-    side = lambda n: sketch.select(F.col("rep").alias(n), F.col("n_shingles").alias("n" + n), F.col("sketch").alias("s" + n))
-    likely = _pair_filter(star.join(side("a"), "a").join(side("b"), "b"), least)
-    links = cut(verify(likely, docs, id_col, text_col, shingle_words, num, den))
+    # each member goes to one centre first, and to the others only while a bucket of theirs is split
+    others = members.where("node <> centre")
+    first = others.groupBy("node").agg(F.max(F.struct("density", (-F.col("centre")).alias("m"))).alias("c")).select((-F.col("c.m")).alias("a"), F.col("node").alias("b"))
+    first = cut(first)
+    links = verify(_likely(first, classes, least), texts, shingle_words, num, den)
     labels = components(links)
-    more = cut(_apart(members, labels, sketch, docs, id_col, text_col, shingle_words, num, den))
+    at = lambda n: labels.select(F.col("node").alias(n), F.col("component").alias("c" + n))
+    rest = others.select(F.col("centre").alias("a"), F.col("node").alias("b")).join(at("b"), "b", "left").join(at("a"), "a", "left")
+    rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+    links = verify(_likely(rest, classes, least), texts, shingle_words, num, den)
+    star = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    labels = components(star.unionByName(links))
+    more = cut(_apart(members, labels, classes, texts, shingle_words, num, den))
     if more.limit(1).count():
-        labels = components(links.unionByName(more))
-    named = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "fp1", "fp2", "n_shingles", F.coalesce("component", "rep").alias("component_id")
-    )
-    return feats.join(named, ["fp1", "fp2", "n_shingles"], "left").select(
-        "id",
-        "n_shingles",
-        F.coalesce("component_id", "id").alias("component_id"),
-        (F.coalesce("component_id", "id") == F.col("id")).alias("kept"),
-    )
+        star = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        labels = components(star.unionByName(more))
+    named = classes.join(labels, "node", "left").select("fp1", "fp2", "n_shingles", "id", "th", F.coalesce("component", "node").alias("component"))
+    named = cut(named)
+    chosen = named.groupBy("component").agg(F.min_by(F.struct("id", "th"), order).alias("k"))
+    named = named.join(chosen, "component").select("fp1", "fp2", "n_shingles", "k")
+    kept = F.col("id").eqNullSafe(F.col("k.id")) & (F.col("th") == F.col("k.th"))
+    full = feats.where("n_shingles > 0").join(named, ["fp1", "fp2", "n_shingles"]).select("id", "th", "n_shingles", F.col("k.id").alias("component_id"), kept.alias("kept"))
+    empty = feats.where("n_shingles = 0").select("id", "th", "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    return full.unionByName(empty)

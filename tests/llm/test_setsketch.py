@@ -7,7 +7,7 @@ from math import lgamma
 import numpy as np
 import pytest
 
-from claimcheck.llm import setsketch
+from claimcheck.llm import _words, setsketch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -82,7 +82,31 @@ def test_empty_table_and_clashing_columns(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert setsketch.near_duplicates(empty).count() == 0
     df = spark.createDataFrame([(1, "a b c", 7, "x"), (2, "a b c", 8, "y"), (None, "a", 1, "z")], "doc_id long, text string, component_id int, kept string")
-    assert sorted((r.id, r.component_id) for r in setsketch.near_duplicates(df).collect()) == [(1, 1), (2, 1)]
+    got = {r.id: (r.component_id, r.kept) for r in setsketch.near_duplicates(df).collect()}
+    assert got == {1: (1, True), 2: (1, False), None: (None, True)}
+
+
+def test_rows_that_share_ids(spark):
+    rows = [(1, "a b c d e f"), (3, "a b c d e f"), (3, "g h i j k l"), (3, "g h i j k l"), (None, "a b c d e f"), (None, "m n o p q"), (None, "m n o p q"), (4, "g h i j k l"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.id or 0, r.n_shingles, r.component_id, r.kept) for r in setsketch.near_duplicates(df).collect()), key=str)
+    want = [(1, 2, 1, True), (3, 2, 1, False), (3, 2, 3, True), (3, 2, 3, True), (0, 2, 1, False), (0, 1, None, True), (0, 1, None, True), (4, 2, 3, False), (0, 0, None, True)]
+    assert got == sorted(want, key=str)
+
+
+def test_blocks_of_what_is_left_apart(spark, monkeypatch):
+    """Two groups whose members share bands but are mostly below the threshold, in small blocks."""
+    monkeypatch.setattr(setsketch, "BLOCK", 16)
+    monkeypatch.setattr(setsketch, "COARSE", 3)
+    rnd = random.Random(9)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(260):
+        w = list(base)
+        for _ in range(rnd.choice([3, 4, 9, 10, 11, 12, 14])):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    check(spark, rows, 2)
 
 
 def test_sketch_merges_and_estimates():
@@ -110,3 +134,16 @@ def test_estimate_drops_fewer_pairs_at_the_threshold_than_the_bands():
     size = np.full(len(a), 500.0)
     dropped = chance[setsketch.estimate(a, np.ones_like(a), size, size) < setsketch.floor_of_estimate(j)].sum()
     assert 0 < dropped < (1 - j**setsketch.ROWS) ** setsketch.BANDS
+
+
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_long_texts_in_pieces_have_the_same_sets(monkeypatch, k):
+    rnd = random.Random(k)
+    for text in (" ".join("w" * rnd.randrange(1, 40) + str(i) for i in range(300)), "x" * 1000, " \n " * 400, "ab " + "y" * 700 + " cd  " + "z" * 64, ""):
+        data = np.frombuffer(text.encode(), np.uint8)
+        off = np.array([0, len(data)])
+        monkeypatch.setattr(_words, "SLICE_BYTES", 1 << 20)
+        whole = _words.shingle_sets(data, off, k)
+        monkeypatch.setattr(_words, "SLICE_BYTES", 64)
+        pieces = _words.shingle_sets(data, off, k)
+        assert whole[0].tolist() == pieces[0].tolist() and whole[1].tolist() == pieces[1].tolist()
