@@ -3,12 +3,13 @@
 import zlib
 
 import corpus_pipeline
-from claimcheck.llm import mixing, spm
-from tests.llm.test_pii import brute as pii_brute
+from claimcheck.llm import mixing, queries, spm
+from tests.llm import test_pii
 from tests.llm.test_setsketch import brute as dedup_brute
 
 
-def test_stages_against_brute_force(spark, sf_dir, tmp_path):
+def test_stages_against_brute_force(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(test_pii, "KEY", queries.DEMO_KEY)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     steps = []
     now = docs
@@ -28,7 +29,7 @@ def test_stages_against_brute_force(spark, sf_dir, tmp_path):
     single = {r.doc_id: r for r in steps[1].collect()}
     assert set(single) == want
     hidden = {r.doc_id: r.text for r in steps[2].collect()}
-    assert hidden == {i: pii_brute(r.text) for i, r in single.items()}
+    assert hidden == {i: test_pii.brute(r.text) for i, r in single.items()}
     import duckdb
 
     con = duckdb.connect()
@@ -58,3 +59,15 @@ def test_odd_and_empty_documents(spark, sf_dir):
             assert k == 4 or now.columns == docs.columns
         rows = now.collect()
         assert all(r.round_trip for r in rows)
+
+
+def test_near_copies_go_by_row(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    a, b, c = "a b c d e f g", "h i j k l m n", "o p q r s t u v w x"
+    texts = [(1, a), (3, a), (3, b), (4, c), (4, c), (5, c), (None, a), (None, "only here is it"), (None, "only here is it"), (6, ""), (6, ""), (7, None), (7, None)]
+    rows = [(i, t, "en", f"s{n}", n) for n, (i, t) in enumerate(texts)]
+    out = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, docs.schema), sf_dir)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    want = [(1, a), (3, b), (4, c), (None, "only here is it"), (6, ""), (6, ""), (7, None), (7, None)]
+    assert got == sorted(want, key=str)
