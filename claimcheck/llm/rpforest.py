@@ -6,19 +6,25 @@ both sides, so that a close pair is seldom parted, and several trees make it
 all but certain that some leaf holds it.  Within a leaf all pairs are compared
 by cosine in double precision, and only verified pairs count.  A node that is
 already dense with links, or that the spill band would hardly make smaller, is
-a leaf whatever its size, and is compared in blocks; the band is never cut.
+not split but compared whole, in blocks; the band is never cut.  Of such a node
+links are counted and a spanning forest is kept, never the links themselves; a
+pair in several such nodes counts in the first.
 
 Exact copies form classes first: one vector stands for them, and the number of
 copies enters the counts, so a vector repeated a million times costs one row.
-A label of more vectors than a task should hold is split over the cluster by
+A label that a task can hold is done there with all its trees and gives one
+count a row and a spanning forest.  A larger one is split over the cluster by
 the same rule, at medians that Spark computes, until its parts fit.  A node
-there that is dense, or that the spill band would hardly make smaller, is not
-split: all its pairs are compared as pairs of blocks dealt over the cluster,
-which return counts and a spanning forest instead of the links.
+there that is not to be split is compared as pairs of blocks dealt over the
+cluster.  The parts are split twice: first to know all nodes that are compared
+whole, in whatever tree, and then to compare, so that the links of small leaves,
+which the parts return, leave out what a whole node counts.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,51 +63,112 @@ def _dense(u: np.ndarray, threshold: float, rng) -> bool:
 
 
 def leaves(u: np.ndarray, threshold: float, tree: int, leaf: int = LEAF):
-    """Index arrays of the leaves of one tree over unit vectors."""
+    """(index array, whether it is more than a leaf and compared whole) of the ends of one tree over unit vectors."""
     rng = np.random.default_rng(tree + 17)
     width = band(threshold, u.shape[1])
     stack = [np.arange(len(u))]
     while stack:
         at = stack.pop()
-        if len(at) <= leaf or _dense(u[at], threshold, rng):
-            yield at
+        if len(at) <= leaf:
+            yield at, False
+            continue
+        if _dense(u[at], threshold, rng):
+            yield at, True
             continue
         p = u[at] @ _direction(u.shape[1], tree, int(rng.integers(2**31)))
         mid = np.median(p)
         left, right = p <= mid + width, p >= mid - width
         if max(left.sum(), right.sum()) > WIDEST * len(at):
-            yield at
+            yield at, True
             continue
         stack += [at[left], at[right]]
 
 
-def links_within(x: np.ndarray, threshold: float, trees: range, leaf: int = LEAF) -> np.ndarray:
-    """Pairs (i < j) of rows found in the trees' leaves with cosine >= threshold."""
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.sqrt((x * x).sum(axis=1))[:, None] if len(x) else x
+
+
+def ends(x: np.ndarray, threshold: float, trees: range, leaf: int = LEAF):
+    """(leaves, nodes compared whole) of the trees, without nodes that lie in an earlier one."""
+    small, whole = [], []
+    u = unit(x)
+    inside = np.zeros((len(x), 0), bool)
+    for tree in trees:
+        for at, more in leaves(u, threshold, tree, leaf):
+            if not more:
+                small.append(at)
+            elif not inside[at].all(axis=0).any():
+                own = np.zeros((len(x), 1), bool)
+                own[at] = True
+                inside = np.concatenate((inside, own), axis=1)
+                whole.append(at)
+        if any(len(at) == len(x) for at in whole):  # nothing is left to find
+            return [], [at for at in whole if len(at) == len(x)]
+    return small, whole
+
+
+def leaf_links(x: np.ndarray, threshold: float, small: list[np.ndarray], within: np.ndarray) -> np.ndarray:
+    """Pairs (i < j) of rows of the leaves with cosine >= threshold that share no column of ``within``."""
     n = len(x)
     norm = np.sqrt((x * x).sum(axis=1))
-    u = x / norm[:, None]
-    found = []
-    whole = False
-    for tree in trees:
-        if whole:  # nothing is left to find
-            break
-        for at in leaves(u, threshold, tree, leaf):
-            whole = whole or len(at) == n
-            for i in range(0, len(at), BLOCK):
-                a = at[i : i + BLOCK]
-                for j in range(i, len(at), BLOCK):
-                    b = at[j : j + BLOCK]
-                    c = (x[a] @ x[b].T) / (norm[a][:, None] * norm[b][None])
-                    r, s = np.nonzero(c >= threshold)
-                    p, q = a[r], b[s]
-                    keep = p != q
-                    found.append(np.minimum(p, q)[keep] * n + np.maximum(p, q)[keep])
-        if len(found) > 1:
+    found: list[np.ndarray] = []
+    held = 0
+    for at in small:
+        c = (x[at] @ x[at].T) / (norm[at][:, None] * norm[at][None])
+        r, s = np.nonzero(np.triu(c >= threshold, 1))
+        p, q = np.minimum(at[r], at[s]), np.maximum(at[r], at[s])
+        if within.shape[1] and len(p):
+            apart = ~(within[p] & within[q]).any(axis=1)
+            p, q = p[apart], q[apart]
+        found.append(p * n + q)
+        held += len(p)
+        if held > 1 << 22:
             found = [np.unique(np.concatenate(found))]
+            held = len(found[0])
     codes = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return np.stack([codes // n, codes % n], axis=1) if n else np.zeros((0, 2), np.int64)
 
 
+def _columns(within: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The columns that a row of ``at`` is in, as numbers for ``count_links``."""
+    w = within[at]
+    return w[:, w.any(axis=0)].astype(np.float32)
+
+
+def _root(name: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Names with those that the edges (a, b) join made one, the smallest."""
+    while True:
+        x, y = name[a], name[b]
+        if (x == y).all():
+            return name
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        up = np.arange(len(name))
+        np.minimum.at(up, high, low)
+        while (up[up] != up).any():
+            up = up[up]
+        name = up[name]
+
+
+def links_within(x: np.ndarray, copies: np.ndarray, threshold: float, trees: range, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
+    """(copies of the rows linked to each row, the first row of its component) as found by the trees."""
+    n = len(x)
+    small, whole = ends(x, threshold, trees, leaf)
+    within = np.zeros((n, len(whole)), bool)
+    counts, name = np.zeros(n, np.int64), np.arange(n)
+    for i, at in enumerate(whole):
+        w = _columns(within, at)
+        k, _, edges = count_links(x[at], None, copies[at], None, w, None, threshold)
+        counts[at] += k
+        if edges:
+            e = at[np.array(edges)]
+            name = _root(name, e[:, 0], e[:, 1])
+        within[at, i] = True
+    p = leaf_links(x, threshold, small, within)
+    np.add.at(counts, p[:, 0], copies[p[:, 1]])
+    np.add.at(counts, p[:, 1], copies[p[:, 0]])
+    return counts, _root(name, p[:, 0], p[:, 1])
+
+
 def count_links(x, y, cx, cy, wx, wy, threshold: float):
     """(counts of x, counts of y, tree edges) of all pairs of the rows of two blocks; y None: of the rows of one.
 
@@ -153,21 +220,43 @@ def _dense_nodes(rows: DataFrame, n: DataFrame, threshold: float) -> DataFrame:
         for t in batches:
             keep = []
             for vecs in t.column("vecs"):
-                u = matrix(vecs.values)
-                u = u / np.sqrt((u * u).sum(axis=1, keepdims=True))
-                keep.append(_dense(u, threshold, np.random.default_rng(17)))
+                keep.append(_dense(unit(matrix(vecs.values)), threshold, np.random.default_rng(17)))
             yield pa.RecordBatch.from_arrays([t.column(c) for c in NODE], names=NODE).filter(pa.array(keep, pa.bool_()))
 
     return taken.mapInArrow(run, "grp string, tree int, path long")
 
 
-def _parts(reps: DataFrame, threshold: float, trees: int, part: int) -> DataFrame:
+def _node_id(tree: int, path: int, k: int) -> int:
+    """A number of the k-th node of a part that is compared whole."""
+    return int.from_bytes(hashlib.blake2b(f"{tree}:{path}:{k}".encode(), digest_size=8).digest(), "big", signed=True)
+
+
+def _tasks(batches):
+    """(key, batch of all its rows) of the tasks, from batches sorted by TASK."""
+    held, now = [], None
+    for t in batches:
+        keys = list(zip(*(t.column(c).to_pylist() for c in TASK), strict=True))
+        starts = [0] + [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]] + [len(keys)]
+        for a, b in zip(starts, starts[1:], strict=False):
+            if a == b:
+                continue
+            if held and keys[a] != now:
+                yield now, pa.Table.from_batches(held)
+                held = []
+            now = keys[a]
+            held.append(t.slice(a, b - a))
+    if held:
+        yield now, pa.Table.from_batches(held)
+
+
+def _parts(reps: DataFrame, threshold: float, trees: int, part: int, leaf: int) -> DataFrame:
     """Rows (grp, tree, path, x, y, at, wid, w, rep, copies, vec) of the tasks (grp, tree, path, x, y).
 
     x = -1: a part of at most ``part`` rows, split over the cluster where need
     be; tree -1 there is a group that fits as a whole, for all trees at once.
     x >= 0: the blocks x and y (``at`` names the row's) of a node ``wid`` that
-    is compared whole.  ``w`` holds all such nodes that the row is in.
+    is compared whole.  ``w`` holds all such nodes that the row is in, those
+    within parts too.
     """
     cols = ["rep", "copies", "vec"]
     size = reps.groupBy("grp").agg(F.count("*").alias("n"))
@@ -183,8 +272,7 @@ def _parts(reps: DataFrame, threshold: float, trees: int, part: int) -> DataFram
 
     def project(batches):
         for t in batches:
-            u = matrix(t.column("vec"))
-            u = u / np.sqrt((u * u).sum(axis=1, keepdims=True)) if len(u) else u
+            u = unit(matrix(t.column("vec")))
             tree, path = (t.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "path"))
             p = np.zeros(len(u))
             for s, w in set(zip(tree.tolist(), path.tolist(), strict=True)):
@@ -219,12 +307,22 @@ def _parts(reps: DataFrame, threshold: float, trees: int, part: int) -> DataFram
         if n.where(F.col("n") > part).limit(1).count() == 0:
             break
     whole = cut(whole.withColumn("wid", F.xxhash64("tree", "path")))
-    within = cut(whole.groupBy("grp", "rep").agg(F.collect_set("wid").alias("w")))
+    done = plain(done, F.array().cast("array<long>")).drop("w")
+
+    def inner(batches):
+        """(grp, rep, wid): the rows of the nodes within a part that are compared whole."""
+        for (grp, tree, path, *_), t in _tasks(batches):
+            rep = t.column("rep").to_numpy()
+            for k, at in enumerate(ends(matrix(t.column("vec")), threshold, range(tree, tree + 1), leaf)[1]):
+                yield pa.RecordBatch.from_arrays([pa.array([grp] * len(at)), pa.array(rep[at]), pa.array(np.full(len(at), _node_id(tree, path, k)))], names=["grp", "rep", "wid"])
+
+    inside = done.repartition(*TASK).sortWithinPartitions(*TASK, "rep").mapInArrow(inner, "grp string, rep long, wid long")
+    within = cut(whole.select("grp", "rep", "wid").unionByName(inside).groupBy("grp", "rep").agg(F.collect_set("wid").alias("w")))
     blocks = F.ceil(F.col("n") / max(1, part // 2)).cast("int")
     dealt = whole.join(within, ["grp", "rep"]).withColumn("at", F.pmod(F.xxhash64("rep", F.lit(3)), blocks).cast("int"))
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select(*NODE, F.least("at", "o").alias("x"), F.greatest("at", "o").alias("y"), "at", "wid", "w", *cols)
-    done = plain(done.join(within, ["grp", "rep"], "left"), F.coalesce("w", F.array().cast("array<long>")))
+    done = done.join(within, ["grp", "rep"], "left").withColumn("w", F.coalesce("w", F.array().cast("array<long>"))).select(dealt.columns)
     return plain(fits, F.array().cast("array<long>")).unionByName(done).unionByName(dealt)
 
 
@@ -246,7 +344,8 @@ def near_duplicates(
 
     Defined cases: vectors that are null, empty, zero or hold null or
     non-finite components, and rows with a null label, link with nothing;
-    vectors of different lengths are not linked; exact copies are linked;
+    vectors of different lengths are not linked; exact copies are linked, also
+    those of one id; rows that share an id are compared each by its own vector;
     rows with a null id are not returned; other columns are ignored; an empty
     table gives no rows.
     """
@@ -262,13 +361,12 @@ def near_duplicates(
     # + 0.0 makes negative zeros equal to zeros
     same = F.xxhash64(F.transform("vec", lambda x: x + 0.0)).alias("h")
     keyed = rows.where("ok").select("id", "grp", "vec", same)
-    classes = cut(keyed.groupBy("grp", "h", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
-    parts = _parts(classes.select("grp", "rep", "copies", "vec"), threshold, trees, part)
+    classes = keyed.groupBy("grp", "h", "vec").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()))  # which also fixes the numbers
+    parts = _parts(classes.select("grp", "rep", "copies", "vec"), threshold, trees, part, leaf)
 
     def compare(batches):
         """(a, b, n): a link (n = 0), an edge of a spanning forest (n = -1), or copies counted for a (b null)."""
-        state = {"key": None}
-        got: list[pa.RecordBatch] = []
 
         def out(a, b, n):
             for i in range(0, len(a), 50_000):
@@ -277,56 +375,56 @@ def near_duplicates(
                     names=["a", "b", "n"],
                 )
 
-        def flush():
-            if not got:
-                return
-            _, tree, _, bx, by = state["key"]
-            rep, copies, at = (np.concatenate([t.column(c).to_numpy(zero_copy_only=False) for t in got]) for c in ("rep", "copies", "at"))
-            vec = np.concatenate([matrix(t.column("vec")) for t in got])
-            w = [v for t in got for v in t.column("w").to_pylist()]
-            wid = got[0].column("wid")[0].as_py()
-            names = sorted({v for r in w for v in r if bx < 0 or v < wid})
+        def counted(rep, counts, a, b):
+            some = counts > 0
+            yield from out(rep[some], pa.nulls(int(some.sum()), pa.int64()), counts[some])
+            yield from out(a, b, np.full(len(a), -1))
+
+        def nodes(t, least=None):
+            """Which nodes each row is in, of those below ``least``."""
+            w = t.column("w").to_pylist()
+            names = sorted({v for r in w for v in r if least is None or v < least})
             place = {v: i for i, v in enumerate(names)}
-            within = np.zeros((len(rep), len(names)), np.float32)
+            within = np.zeros((len(w), len(names)), bool)
             for i, r in enumerate(w):
-                within[i, [place[v] for v in r if v in place]] = 1
-            if bx < 0:
-                pairs = links_within(vec, threshold, range(trees) if tree < 0 else range(tree, tree + 1), leaf)
-                for i in range(0, len(pairs), 50_000):
-                    p = pairs[i : i + 50_000]
-                    if names:  # those of a node that is compared whole are counted there
-                        p = p[~((within[p[:, 0]] > 0) & (within[p[:, 1]] > 0)).any(axis=1)]
-                    yield from out(rep[p[:, 0]], rep[p[:, 1]], np.zeros(len(p), np.int64))
-                return
-            f, g = np.flatnonzero(at == bx), np.flatnonzero(at == by)
-            if bx == by:
-                k, _, edges = count_links(vec, None, copies, None, within, None, threshold)
-                order, counts = np.arange(len(rep)), k
+                within[i, [place[v] for v in r if v in place]] = True
+            return within, place
+
+        for (_, tree, path, bx, by), t in _tasks(batches):
+            rep, copies, at = (t.column(c).to_numpy() for c in ("rep", "copies", "at"))
+            vec = matrix(t.column("vec"))
+            if tree < 0:
+                counts, name = links_within(vec, copies, threshold, range(trees), leaf)
+                joined = np.flatnonzero(name != np.arange(len(name)))
+                yield from counted(rep, counts, rep[joined], rep[name[joined]])
+            elif bx < 0:
+                within, place = nodes(t)
+                small, whole = ends(vec, threshold, range(tree, tree + 1), leaf)
+                for k, rows in enumerate(whole):
+                    wid = _node_id(tree, path, k)
+                    w = _columns(within[:, [i for v, i in place.items() if v < wid]], rows)
+                    counts, _, edges = count_links(vec[rows], None, copies[rows], None, w, None, threshold)
+                    e = np.array(edges, np.int64).reshape(-1, 2)
+                    yield from counted(rep[rows], counts, rep[rows[e[:, 0]]], rep[rows[e[:, 1]]])
+                p = leaf_links(vec, threshold, small, within)
+                yield from out(rep[p[:, 0]], rep[p[:, 1]], np.zeros(len(p), np.int64))
             else:
-                k, m, edges = count_links(vec[f], vec[g], copies[f], copies[g], within[f], within[g], threshold)
-                order, counts = np.concatenate((f, g)), np.concatenate((k, m))
-            some = counts > 0
-            yield from out(rep[order[some]], pa.nulls(int(some.sum()), pa.int64()), counts[some])
-            if edges:
-                e = np.array(edges)
-                yield from out(rep[order[e[:, 0]]], rep[order[e[:, 1]]], np.full(len(e), -1))
-
-        for t in batches:
-            keys = list(zip(*(t.column(c).to_pylist() for c in TASK), strict=True))
-            starts = [0] + [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]] + [len(keys)]
-            for a, b in zip(starts, starts[1:], strict=False):
-                if a == b:
-                    continue
-                if keys[a] != state["key"]:
-                    yield from flush()
-                    got.clear()
-                    state["key"] = keys[a]
-                got.append(t.slice(a, b - a))
-        yield from flush()
+                within, _ = nodes(t, t.column("wid")[0].as_py())
+                f, g = np.flatnonzero(at == bx), np.flatnonzero(at == by)
+                if bx == by:
+                    counts, _, edges = count_links(vec, None, copies, None, _columns(within, f), None, threshold)
+                    order = f
+                else:
+                    order = np.concatenate((f, g))
+                    w = _columns(within, order)
+                    k, m, edges = count_links(vec[f], vec[g], copies[f], copies[g], w[: len(f)], w[len(f) :], threshold)
+                    counts = np.concatenate((k, m))
+                e = np.array(edges, np.int64).reshape(-1, 2)
+                yield from counted(rep[order], counts, rep[order[e[:, 0]]], rep[order[e[:, 1]]])
 
     found = cut(
         parts.repartition(*TASK)
-        .sortWithinPartitions(*TASK)
+        .sortWithinPartitions(*TASK, "rep")
         .mapInArrow(compare, "a long, b long, n long")
         .select(F.least("a", "b").alias("a"), F.when(F.col("b").isNotNull(), F.greatest("a", "b")).alias("b"), "n")
         # one part's pairs are distinct already; parts of several trees or sides repeat some
@@ -340,10 +438,12 @@ def near_duplicates(
     others = others.unionByName(found.where("kind = 1").select(F.col("a").alias("rep"), F.col("n").alias("copies")))
     others = others.groupBy("rep").agg(F.sum("copies").alias("others"))
     labels = components(found.where("kind < 1").select("a", "b")).withColumnRenamed("node", "rep")
+    named = cut(classes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
     per_class = (
-        classes.join(others, "rep", "left")
-        .join(labels, "rep", "left")
-        .select("grp", "h", "vec", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        named.join(smallest, "component")
+        .join(others, "rep", "left")
+        .select("grp", "h", "vec", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     )
     hit = keyed.join(per_class, ["grp", "h", "vec"]).select("id", "n_links", "component_id")
     miss = rows.where("not ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))

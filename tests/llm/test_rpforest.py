@@ -59,10 +59,11 @@ def test_table_matches_brute_force(spark, sf_dir):
 def test_dense_group_keeps_all_its_links():
     rng = np.random.default_rng(2)
     x = np.concatenate((rng.normal(size=16) + 0.05 * rng.normal(size=(900, 16)), rng.normal(size=(3000, 16))))
-    got = rpforest.links_within(x, 0.93, range(rpforest.TREES))
+    counts, name = rpforest.links_within(x, np.ones(len(x), int), 0.93, range(rpforest.TREES))
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    want = np.count_nonzero(np.triu(u @ u.T >= 0.93, 1))
-    assert want >= len(got) >= 0.999 * want
+    want = (u @ u.T >= 0.93).sum(axis=1) - 1
+    assert (counts <= want).all() and counts.sum() >= 0.999 * want.sum()
+    assert (name[:900][want[:900] > 0] == 0).all()
 
 
 def test_edges(spark):
@@ -99,7 +100,37 @@ def test_dense_group_larger_than_a_part(spark, diffuse):
 @pytest.mark.parametrize("dim, mean_cosine", [(64, 0.9), (32, 0.88)])
 def test_diffuse_group_keeps_its_links(dim, mean_cosine):
     x = near(np.random.default_rng(6), 4000, dim, mean_cosine)
-    got = rpforest.links_within(x, 0.93, range(rpforest.TREES))
+    counts, _ = rpforest.links_within(x, np.ones(len(x), int), 0.93, range(rpforest.TREES))
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    want = np.count_nonzero(np.triu(u @ u.T >= 0.93, 1))
-    assert want >= len(got) >= 0.999 * want > 1000
+    want = (u @ u.T >= 0.93).sum(axis=1) - 1
+    assert (counts <= want).all() and counts.sum() >= 0.999 * want.sum() > 1000
+
+
+def test_a_dense_label_of_twelve_parts_equals_brute_force(spark):
+    x = near(np.random.default_rng(8), 3600, 24, 0.94)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.id: r.n_links for r in rpforest.near_duplicates(df, part=300, leaf=64).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.93).sum(axis=1) - 1
+    assert 0.2 < links.mean() / 3600 < 0.95
+    assert got == dict(enumerate(links.tolist()))
+
+
+def test_dense_groups_inside_parts_count_once(spark):
+    rng = np.random.default_rng(10)
+    x = np.concatenate([near(rng, int(n), 32, 0.965) for n in rng.integers(90, 260, 14)] + [rng.normal(size=(700, 32))])
+    x = x[rng.permutation(len(x))]
+    x[1] = x[0]
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.id: r.n_links for r in rpforest.near_duplicates(df, part=600, leaf=48).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.93).sum(axis=1) - 1
+    assert all(got[i] <= n for i, n in enumerate(links.tolist()))
+    assert sum(got.values()) >= 0.999 * links.sum() > 100_000
+
+
+def test_rows_that_share_an_id(spark):
+    rows = [(1, [1.0, 0.0], 1), (5, [1.0, 0.01], 1), (5, [0.0, 1.0], 1), (6, [0.01, 1.0], 1), (6, [0.01, 1.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(r) for r in rpforest.near_duplicates(df).collect())
+    assert got == [(1, 1, 1, True), (5, 1, 1, False), (5, 2, 5, True), (6, 2, 5, False), (6, 2, 5, False)]
