@@ -95,31 +95,43 @@ class Hashes:
         return (self.sums[end] - self.sums[start]) * self.back[start]
 
     def of(self, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-        return mix(self.raw(start, end) + np.uint64(seed * _STEP & _ALL))
+        return salted(self.raw(start, end), seed)
 
 
-def long_text(data: np.ndarray) -> np.ndarray:
-    """Hashes of the words of one long text, which is gone through in pieces of SLICE_BYTES."""
-    out, open_hash, open_length = [], 0, 0  # of a word that goes on in the next piece
+def runs(data: np.ndarray, outside: np.ndarray = _SEP):
+    """(starts, ends, raw hashes) of the words of one long text, which is gone through in pieces of SLICE_BYTES."""
+    begun, part = -1, 0  # where a word that goes on in the next piece began, and its hash so far
     for i in range(0, len(data), SLICE_BYTES):
         piece = data[i : i + SLICE_BYTES]
-        start, end, _ = words(piece, np.array([0, len(piece)]))
+        start, end, _ = words(piece, np.array([0, len(piece)]), outside)
         raw = Hashes(piece).raw(start, end)
-        if open_length:
-            if len(start) and start[0] == 0:
-                raw[0] = (open_hash + int(raw[0]) * pow(_BASE, open_length, 1 << 64)) & _ALL
+        start, end = start + i, end + i
+        if begun >= 0:
+            if len(start) and start[0] == i:
+                raw[0] = (part + int(raw[0]) * pow(_BASE, i - begun, 1 << 64)) & _ALL
+                start[0] = begun
             else:
-                out.append(np.array([open_hash], np.uint64))
-                open_length = 0
-        if len(end) and end[-1] == len(piece) and i + len(piece) < len(data):
-            open_hash, open_length = int(raw[-1]), int(end[-1] - start[-1]) + (open_length if len(end) == 1 and start[0] == 0 else 0)
-            raw = raw[:-1]
-        else:
-            open_length = 0
-        out.append(raw)
-    if open_length:
-        out.append(np.array([open_hash], np.uint64))
-    return mix(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+                yield np.array([begun]), np.array([i]), np.array([part], np.uint64)
+            begun = -1
+        if len(end) and end[-1] == i + len(piece) < len(data):
+            begun, part = int(start[-1]), int(raw[-1])
+            start, end, raw = start[:-1], end[:-1], raw[:-1]
+        yield start, end, raw
+
+
+def salted(raw: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hashes of raw ones."""
+    return mix(raw + np.uint64(seed * _STEP & _ALL))
+
+
+def heads(data: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Raw hashes of the first ``n`` bytes of words."""
+    out = np.zeros(len(start), np.uint64)
+    for j in range(n):
+        at = start + j
+        inside = at < end
+        out[inside] += _TABLE[data[at[inside]]] * np.uint64(pow(_BASE, j, 1 << 64))
+    return out
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int):
@@ -131,7 +143,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, k: int):
     """
     docs = len(off) - 1
     if docs == 1 and len(data) > 2 * SLICE_BYTES:
-        h = long_text(data)
+        h = salted(np.concatenate([raw for _, _, raw in runs(data)]))
         count = np.array([len(h)])
     else:
         start, end, doc = words(data, off)
