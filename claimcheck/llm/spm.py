@@ -7,16 +7,19 @@ depends on the two pieces beside it only, that is the single path all of whose
 neighbouring pieces are stable together, so an edge is allowed after a piece
 or it is not, and each boundary keeps one back-pointer or none.
 
-The lattice is a stream: only boundaries within the longest piece's length of
-the end can still be extended.  Once their back-pointers all meet in one
-boundary, the ids up to it are given out and the text before it is dropped.
-Where the vocabulary has no piece across a boundary (before a space, beside a
-line break, between a letter and a mark), all paths meet there, so the segments
-between are looked up in a bounded cache first.
+The lattice is a stream: a boundary is extended once the longest piece's length
+of text after it is known, so only boundaries within that length can still be
+extended.  When the back-pointers of all these meet in one boundary, the ids up
+to it are given out and the text before it is dropped.  A text is read in
+slices.  Where the vocabulary has no piece across a boundary (before a space,
+beside a line break, between a letter and a mark), all paths meet there, so a
+short segment between two such is looked up in a bounded cache first and its
+lattice ends there; a long one passes through the stream bit by bit.
 """
 
 from __future__ import annotations
 
+import codecs
 import re
 from functools import cache
 
@@ -33,6 +36,8 @@ SPACE = "▁"
 CACHE = 250_000  # segments of one generation that a worker remembers
 PAIRS = 500_000  # pairs of pieces that it remembers
 SHORT = 64  # characters of a segment that is remembered
+SLICE = 1 << 16  # characters of a text that are read at once, and ids that are decoded at once
+BATCH_BYTES = 8 << 20  # texts that a task handles at once; a longer one is handled alone
 UNIGRAM, BPE = 1, 2
 
 
@@ -67,36 +72,54 @@ class Vocabulary:
                 self.ids[p], self.scores[p] = i, sp.get_score(i)
                 self.out.append(p.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.ids))
-        # 1: begins longer pieces, 2: is a piece as well, 3: is a piece and begins none
-        self.kinds = {p[:n]: 1 for p in self.ids for n in range(1, len(p))}
-        self.kinds |= {p: 2 if p in self.kinds else 3 for p in self.ids}
-        self.packed = {p: np.array([i], np.int32).tobytes() for p, i in self.ids.items()}
+        # by character: (piece that ends here, its id, or the character, or None; what may follow or None)
+        self.trie: dict = {}
+        for p, i in self.ids.items():
+            kids = self.trie
+            for n, c in enumerate(p, 1):
+                node = kids.get(c)
+                if node is None:
+                    node = kids[c] = [c if n == 1 else None, None]
+                if n == len(p):
+                    node[0] = i
+                else:
+                    if node[1] is None:
+                        node[1] = {}
+                    kids = node[1]
+        self.piece = {i: p for p, i in self.ids.items()}
+        self.packed: dict[int | str, bytes] = {i: np.array([i], np.int32).tobytes() for i in self.piece}
         self.unknown = min(self.scores.values()) - 10.0
         many = [p for p in self.ids if len(p) > 1]
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in many) and not any("\n" in p for p in many)
         beside = {(a, b) for p in many for a, b in zip(p, p[1:], strict=False)}
         joined = {b for a, b in beside if a.isalnum()}
         self.marks = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in joined)
-        self.after: dict[str, dict[str, bool]] = {}
+        # what may follow a piece; a piece is known by its id, a character without one by itself
+        self.after: dict[int | str, dict[int | str, bool]] = {}
         self._known_pairs = 0
 
-    def id_bytes(self, piece: str) -> bytes:
+    def id_bytes(self, piece: int | str) -> bytes:
         known = self.packed.get(piece)
         return known if known is not None else np.array([self.byte[b] for b in piece.encode()], np.int32).tobytes()
 
-    def stable(self, left: str, right: str) -> bool:
-        """Whether merging the two pieces' characters gives just these pieces."""
+    def score(self, piece: int | str) -> float:
+        return self.unknown if isinstance(piece, str) else self.scores[self.piece[piece]]
+
+    def row(self, left: int | str) -> dict[int | str, bool]:
+        """What is known of the pieces after one; emptied when all rows hold too much."""
+        if self._known_pairs > PAIRS:
+            self.after, self._known_pairs = {}, 0
         row = self.after.get(left)
         if row is None:
             row = self.after[left] = {}
-        known = row.get(right)
-        if known is None:
-            self._known_pairs += 1
-            if self._known_pairs > PAIRS:  # rows in use stay usable
-                self.after, self._known_pairs = {left: row}, 1
-                row.clear()
-            known = row[right] = self.merged(left + right) == ([left, right] if left else [right])
-        return known
+        return row
+
+    def stable(self, left: int | str, right: int | str, row: dict[int | str, bool]) -> bool:
+        """Whether merging the two pieces' characters gives just these pieces; remembered in ``row``."""
+        a, b = self.piece.get(left, left), self.piece.get(right, right)
+        ok = row[right] = self.merged(a + b) == ([a, b] if a else [b])
+        self._known_pairs += 1
+        return ok
 
     def merged(self, text: str) -> list[str]:
         """Merges of a short text: best score first, then the leftmost."""
@@ -119,71 +142,100 @@ class StreamingViterbi:
     def __init__(self, vocab: Vocabulary):
         self.v = vocab
         self.text = ""  # what follows the last committed boundary
-        self.before = ""  # the piece that ends there
-        self.back = [0]
-        self.score = [0.0]
+        self.at = 0  # the first boundary of it that is not extended yet
+        self.back = [0]  # where the best path's piece that ends at each boundary begins; -1: no path
+        self.last: list[int | str] = [""]  # that piece
+        self.score: list[float] = [0.0]
         self.most = 0  # characters held at most, for tests
 
-    def push(self, more: str) -> bytes:
-        """Extends the lattice and returns ids (int32) that no later text can change."""
-        out = []
-        step = 4 * self.v.longest
-        for k in range(0, len(more), step):
-            self._extend(more[k : k + step])
-            self.most = max(self.most, len(self.text))
-            out.append(self._commit())
-        return b"".join(out)
+    def push(self, more: str, last: bool = False) -> bytes:
+        """Extends the lattice; ids (int32) that no later text can change, all that are left if it is the last."""
+        text = self.text = self.text + more if self.text else more
+        n = len(text)
+        if n > self.most:
+            self.most = n
+        room = n + 1 - len(self.back)
+        self.back += [-1] * room
+        self.last += [""] * room
+        stop = n if last else n - self.v.longest
+        if stop > self.at:
+            if self.v.kind == BPE:
+                self._extend_bpe(stop)
+            else:
+                self.score += [0.0] * room
+                self._extend_unigram(stop)
+            self.at = stop
+        if last:
+            return self._ids(n)
+        return self._give(self._meeting()) if n > 2 * self.v.longest else b""
+
+    def _extend_bpe(self, stop: int) -> None:
+        """From each live boundary, the pieces that are stable after the one that ends there."""
+        v, text, back, last = self.v, self.text, self.back, self.last
+        trie, n = v.trie, len(text)
+        for j in range(self.at, stop):
+            if back[j] < 0:
+                continue
+            row = v.row(last[j])
+            kids = trie
+            for i in range(j, n):
+                node = kids.get(text[i])
+                if node is None:
+                    if i == j and back[j + 1] < 0 and (row.get(text[j]) or v.stable(last[j], text[j], row)):
+                        back[j + 1], last[j + 1] = j, text[j]
+                    break
+                piece, kids = node
+                if piece is not None and back[i + 1] < 0:
+                    ok = row.get(piece)
+                    if ok or ok is None and v.stable(last[j], piece, row):
+                        back[i + 1], last[i + 1] = j, piece
+                if kids is None:
+                    break
 
-    def finish(self) -> bytes:
-        """Ends the text: the path of its end is certain."""
-        out = self._give(len(self.text))
-        self.before = ""
-        return out
+    def _extend_unigram(self, stop: int) -> None:
+        """From each boundary, the pieces that make a better path; of equal ones the first start wins."""
+        v, text, back, last, score = self.v, self.text, self.back, self.last, self.score
+        n = len(text)
+        for j in range(self.at, stop):
+            kids = v.trie
+            for i in range(j, n):
+                node = kids.get(text[i])
+                piece, kids = node if node is not None else (text[j] if i == j else None, None)
+                if piece is not None:
+                    s = score[j] + v.score(piece)
+                    if back[i + 1] < 0 or s > score[i + 1]:
+                        back[i + 1], last[i + 1], score[i + 1] = j, piece, s
+                if kids is None:
+                    break
 
-    def _extend(self, more: str) -> None:
-        v, text = self.v, self.text + more
-        back, score = self.back, self.score
-        for i in range(len(self.text) + 1, len(text) + 1):
-            best, at = None, -1
-            for j in range(max(0, i - v.longest), i):
-                if back[j] < 0:
-                    continue
-                piece = text[j:i]
-                own = v.scores.get(piece)
-                if own is None and i - j > 1:
-                    continue
-                if v.kind == BPE:
-                    if v.stable(self.before if j == 0 else text[back[j] : j], piece):
-                        best, at = 0.0, j
-                        break
-                else:
-                    s = score[j] + (v.unknown if own is None else own)
-                    if best is None or s > best:
-                        best, at = s, j
-            back.append(at)
-            score.append(best or 0.0)
-        self.text = text
-
-    def _commit(self) -> bytes:
-        n = len(self.text)
-        ends = {i for i in range(max(0, n - self.v.longest + 1), n + 1) if self.back[i] >= 0}
-        while len(ends) > 1:
-            last = max(ends)
-            ends.remove(last)
-            ends.add(self.back[last] if last else 0)
-        return self._give(ends.pop() if ends else 0)
+    def _meeting(self) -> int:
+        """The last boundary that the paths of all boundaries that can still be extended have in common."""
+        live = {i for i in range(self.at, len(self.text) + 1) if self.back[i] >= 0}
+        while len(live) > 1:
+            last = max(live)
+            live.remove(last)
+            live.add(self.back[last])
+        return live.pop() if live else 0
+
+    def _ids(self, end: int) -> bytes:
+        """The ids of the path to ``end``."""
+        back, last, packed = self.back, self.last, self.v.packed
+        out = []
+        while end:
+            out.append(packed.get(last[end]) or self.v.id_bytes(last[end]))
+            end = back[end]
+        out.reverse()
+        return b"".join(out)
 
     def _give(self, end: int) -> bytes:
-        parts, i = [], end
-        while i > 0:
-            parts.append(self.text[self.back[i] : i])
-            i = self.back[i]
-        if parts:
-            self.before = parts[0]
+        """The ids of the path to ``end``, from where the lattice goes on."""
+        out = self._ids(end)
         self.text = self.text[end:]
-        self.back = [0] + [b - end for b in self.back[end + 1 :]]
-        self.score = [0.0] + [s - self.score[end] for s in self.score[end + 1 :]]
-        return b"".join(self.v.id_bytes(p) for p in reversed(parts))
+        self.back = [0, *(b - end if b >= 0 else -1 for b in self.back[end + 1 :])]
+        self.last = self.last[end:]
+        self.score = [s - self.score[end] for s in self.score[end:]] if self.v.kind == UNIGRAM else self.score
+        self.at -= end
+        return out
 
 
 class Codec:
@@ -195,66 +247,70 @@ class Codec:
         self.older: dict[str, bytes] = {}
         word = f"{SPACE}*[^\\W_]+(?=[{re.escape(self.v.marks)}])|" if self.v.marks else ""
         self._segments = re.compile(f"{word}{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+")
+        self._meets = re.compile(f"(?<=[^{SPACE}])(?={SPACE})|(?<=\n)|(?=\n)")  # boundaries that no piece crosses
 
     def _fresh(self, segment: str) -> bytes:
         """Ids of a segment that the younger generation does not know."""
-        if len(segment) > SHORT or self.v.kind != BPE:
-            s = StreamingViterbi(self.v)
-            return s.push(segment) + s.finish()
+        if len(segment) > SHORT:
+            return StreamingViterbi(self.v).push(segment, last=True)
         ids = self.older.get(segment)
         if ids is None:
-            ids = self._short(segment)
+            ids = StreamingViterbi(self.v).push(segment, last=True)
         if len(self.known) >= CACHE:
             self.older, self.known = self.known, {}
         self.known[segment] = ids
         return ids
 
-    def _short(self, text: str) -> bytes:
-        """The BPE lattice of a segment shorter than a stream's window, forwards from each live boundary."""
-        v = self.v
-        kinds, stable = v.kinds.get, v.stable
-        n, longest = len(text), v.longest
-        ends: list[str | None] = [None] * (n + 1)  # the piece of the path that ends at each boundary
-        ends[0] = ""
-        for j in range(n):
-            left = ends[j]
-            if left is None:
-                continue
-            row = v.after.get(left)
-            if row is None:
-                row = v.after[left] = {}
-            for i in range(j + 1, n + 1 if n - j < longest else j + longest + 1):
-                piece = text[j:i]
-                kind = kinds(piece, 0)
-                if ends[i] is None and (kind > 1 or i == j + 1):
-                    ok = row.get(piece)
-                    if ok or ok is None and stable(left, piece):
-                        ends[i] = piece
-                if kind == 0 or kind == 3:
-                    break
-        out, i = [], n
-        while i:
-            piece = ends[i]
-            out.append(v.packed.get(piece) or v.id_bytes(piece))
-            i -= len(piece)
-        out.reverse()
-        return b"".join(out)
+    def _ids(self, text: str):
+        """The ids of a text in runs, read in slices."""
+        prefix, splits = self.v.prefix, self.v.splits
+        fresh, find = self._fresh, self._segments.findall
+        held, stream = "", None  # the segment that the next slice may go on with; a segment longer than a slice
+        for at in range(0, len(text), SLICE):
+            piece = held + (SPACE if prefix and at == 0 else "") + text[at : at + SLICE].replace(" ", SPACE)
+            held, last = "", at + SLICE >= len(text)
+            if stream is None and not splits:
+                stream = StreamingViterbi(self.v)
+            if stream is not None:
+                end = self._meets.search(piece, 1) if splits else None
+                if end is None:
+                    yield stream.push(piece, last)
+                    continue
+                yield stream.push(piece[: end.start()], last=True)
+                stream, piece = None, piece[end.start() :]
+            segments = find(piece)
+            if not last and segments:
+                held = segments.pop()
+            known = self.known.get  # a generation that grows old meanwhile is still right
+            yield b"".join([known(s) or fresh(s) for s in segments])
+            if len(held) >= SLICE // 2:
+                stream = StreamingViterbi(self.v)
+                yield stream.push(held[:-1])
+                held = held[-1:]  # its neighbour shows whether paths meet after it
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        text = text.replace(" ", SPACE)
-        if self.v.prefix:
-            text = SPACE + text
-        if not self.v.splits:
-            return np.frombuffer(self._fresh(text), np.int32)
-        known, fresh = self.known.get, self._fresh  # a generation that grows old meanwhile is still right
-        return np.frombuffer(b"".join([known(s) or fresh(s) for s in self._segments.findall(text)]), np.int32)
+        return np.frombuffer(b"".join(self._ids(text)), np.int32)
+
+    def _texts(self, ids: np.ndarray):
+        """The decoded text in runs."""
+        out, utf8, first = self.v.out, codecs.getincrementaldecoder("utf-8")("replace"), self.v.prefix
+        for at in range(0, len(ids), SLICE):
+            more = utf8.decode(b"".join([out[i] for i in ids[at : at + SLICE].tolist()]), at + SLICE >= len(ids))
+            if first and more:
+                more, first = more.removeprefix(" "), False
+            yield more
 
     def decode(self, ids: np.ndarray) -> str:
-        out = self.v.out
-        text = b"".join([out[i] for i in ids.tolist()]).decode(errors="replace")
-        return text[1:] if self.v.prefix and text.startswith(" ") else text
+        return "".join(self._texts(ids))
+
+    def decodes_to(self, ids: np.ndarray, text: str) -> bool:
+        """Whether the ids decode to the text; holds neither twice."""
+        at = 0
+        for more in self._texts(ids):
+            if not text.startswith(more, at):
+                return False
+            at += len(more)
+        return at == len(text)
 
 
 @cache
@@ -262,15 +318,28 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def _added(df: DataFrame, added: list[tuple[str, T.DataType]], work) -> DataFrame:
+def _bounded(t: pa.RecordBatch, col: str):
+    """Runs of rows of at most BATCH_BYTES in a column, one row at least."""
+    column = t.column(col)
+    i = 0
+    while i < t.num_rows:
+        n = t.num_rows - i
+        while n > 1 and column.slice(i, n).nbytes > BATCH_BYTES:
+            n = (n + 1) // 2
+        yield t.slice(i, n)
+        i += n
+
+
+def _added(df: DataFrame, source: str, added: list[tuple[str, T.DataType]], work) -> DataFrame:
     """``df`` with the columns (put in place of those of their names) that ``work`` makes of Arrow batches."""
     fresh = [n for n, _ in added]
     fields = [f for f in df.schema.fields if f.name not in fresh]
     names = [f.name for f in fields]
 
     def run(batches):
-        for t in batches:
-            yield pa.RecordBatch.from_arrays([*(t.column(c) for c in names), *work(t)], names=[*names, *fresh])
+        for whole in batches:
+            for t in _bounded(whole, source):
+                yield pa.RecordBatch.from_arrays([*(t.column(c) for c in names), *work(t)], names=[*names, *fresh])
 
     return df.select([F.col(f"`{c}`") for c in df.columns]).mapInArrow(run, T.StructType([*fields, *(T.StructField(n, k) for n, k in added)]))
 
@@ -281,26 +350,33 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model:
     ``check_col``: a further column that says whether the ids decode to the text.
 
     Defined cases: null and empty texts have no ids; characters without a
-    piece become byte pieces; a column named ``ids_col`` is replaced; an empty
-    table gives an empty result.  Texts of any length are a stream.
+    piece become byte pieces; U+2581 is the model's own sign of a space, so a
+    text that holds it decodes to one with spaces there and does not pass the
+    check; repeated rows are encoded each; a column named ``ids_col`` is
+    replaced; an empty table gives an empty result.  Texts of any length are a
+    stream: besides the text and its ids a task holds a slice of it.
     """
     prepare(docs.sparkSession)
 
     def work(t):
         c = codec(model)
-        ids = [c.encode(x or "") for x in t.column(text_col).to_pylist()]
+        column = t.column(text_col)
+        ids, good = [], []
+        for x in column:
+            text = x.as_py() or ""
+            ids.append(c.encode(text))
+            if check_col:
+                good.append(c.decodes_to(ids[-1], text))
         ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
         out = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))]
-        if check_col:
-            out.append(pa.array([c.decode(i) == (x or "") for i, x in zip(ids, t.column(text_col).to_pylist(), strict=True)]))
-        return out
+        return [*out, pa.array(good, pa.bool_())] if check_col else out
 
     added = [(ids_col, T.ArrayType(T.IntegerType()))] + ([(check_col, T.BooleanType())] if check_col else [])
-    return _added(docs, added, work)
+    return _added(docs, text_col, added, work)
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", text_col: str = "text", model: str = MODEL) -> DataFrame:
-    """``rows`` with the texts of their ids; null ids give an empty text."""
+    """``rows`` with the texts of their ids; null and empty ids give an empty text; other columns stay."""
     prepare(rows.sparkSession)
 
     def work(t):
@@ -308,4 +384,4 @@ def decode(rows: DataFrame, ids_col: str = "ids", text_col: str = "text", model:
         col = t.column(ids_col)
         return [pa.array([c.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in col], pa.string())]
 
-    return _added(rows, [(text_col, T.StringType())], work)
+    return _added(rows, ids_col, [(text_col, T.StringType())], work)
