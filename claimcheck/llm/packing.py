@@ -5,7 +5,9 @@ are split off losslessly as further segments.  Segments are placed by
 best-fit decreasing: longest first, each into the row with the least room that
 still holds it, found in a segment tree over the possible amounts of room.
 This runs on blocks of a fixed number of ids as they stream by, so it needs no
-shuffle and a task's memory does not depend on the data.
+shuffle and a task's memory does not depend on the data.  What that costs is
+the room left in the last rows of each block: rows are filled to 99.9 % where a
+partition holds a thousand rows or more, to 98 % where it holds fifty.
 """
 
 from __future__ import annotations
@@ -97,11 +99,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contex
     the rest of a row is PAD; positions start again at 0 in each segment;
     ``doc_ids`` and ``piece_nos`` name each segment's document and its place in
     it, so that all ids of a document can be put together again.  ``pack_id``
-    names a row by its first segment.
+    names a row by its first segment, so it is unique where ids are.
 
     Defined cases: null and empty texts are a segment of the end id alone; a
-    null id stays null; repeated rows are packed each; other columns are
-    ignored; an empty table gives no rows.
+    null id stays null and stands as "None" in ``pack_id``; repeated rows are
+    packed each, and rows that share an id may share a ``pack_id``; texts of any
+    length are split at every ``context`` ids; other columns are ignored; an
+    empty table gives no rows.
     """
     prepare(docs.sparkSession)
 

@@ -61,8 +61,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written as WARC records and read back by way of the capture index."""
-    out = warc.archive(table(spark, sf_dir, "pages")).read_all()
+    """All pages written as WARC records and read back by looking up their URLs in the capture index."""
+    pages = table(spark, sf_dir, "pages")
+    out = warc.archive(pages).lookup(pages)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

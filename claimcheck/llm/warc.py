@@ -7,8 +7,11 @@ response and the others revisits that name it.
 Index: captures sorted by reversed-host URL key go, over the cluster, into
 shard files.  A shard holds compressed blocks of captures, then its sparse
 directory (first key, offset and length of each block) and a footer of fixed
-size.  A look-up bisects the shards' first keys, range-reads the shard's
-directory, bisects that, and range-reads blocks and records.
+size.  A file of the same form lists the shards.  Look-ups run on the executors:
+keys in order go through the list of shards, the directory of a shard and a
+block, each found by bisection and read by range, to the blocks that hold them;
+the blocks, dealt anew so that a key of very many captures is many tasks' work,
+lead to the records, which are range-read one by one.
 
 Files are written through Arrow's file systems into one folder that all
 executors share.  Each attempt of a task writes files of its own name, and only
@@ -25,6 +28,7 @@ import struct
 import uuid
 import zlib
 from bisect import bisect_left, bisect_right
+from collections import OrderedDict
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
@@ -131,10 +135,13 @@ def write_archive(pages: DataFrame, folder: str, id_col="page_id", url_col="url"
         .select("sha", "first")
     )
     same = cut(same)
+    on = ["sha"]
     if same.count() <= BROADCAST_DIGESTS:
         same = F.broadcast(same)
+    else:  # digests meet without the payloads, which are then dealt by page, as one digest may be that of many pages
+        same, on = base.select("page_id", "sha").join(same, "sha").distinct(), ["page_id", "sha"]
     refers = F.when(F.col("first") != F.col("page_id"), F.col("first"))
-    rows = base.join(same, "sha", "left").select("page_id", "url", "html", refers.alias("refers_to"))
+    rows = base.join(same, on, "left").select("page_id", "url", "html", refers.alias("refers_to"))
 
     def run(batches):
         system, path = _open_folder(folder)
@@ -167,6 +174,36 @@ def write_archive(pages: DataFrame, folder: str, id_col="page_id", url_col="url"
 SHARDS = "path string, first_key string, last_key string, blocks long, captures long"
 
 
+class _IndexFile:
+    """Writes blocks of sorted lines, then the sparse directory and the footer."""
+
+    def __init__(self, system, path: str, block_lines: int):
+        self.out, self.at, self.block_lines = system.open_output_stream(path, compression=None), 0, block_lines
+        self.lines: list[str] = []
+        self.first, self.directory = "", []
+
+    def add(self, key: str, line: list) -> None:
+        if not self.lines:
+            self.first = key
+        self.lines.append(json.dumps(line, ensure_ascii=True))
+        if len(self.lines) == self.block_lines:
+            self._flush()
+
+    def _flush(self) -> None:
+        body = zlib.compress("\n".join(self.lines).encode(), 6)
+        self.directory.append((self.first, self.at, len(body)))
+        self.at += self.out.write(body)
+        self.lines.clear()
+
+    def close(self) -> None:
+        if self.lines:
+            self._flush()
+        sparse = zlib.compress(json.dumps(self.directory).encode(), 6)
+        self.out.write(sparse)
+        self.out.write(struct.pack(_FOOTER, _MAGIC, self.at, len(sparse)))
+        self.out.close()
+
+
 def write_index(manifest: DataFrame, folder: str) -> DataFrame:
     """Sorts captures by key over the cluster into shard files; returns a row for each shard (SHARDS)."""
     captures = manifest.count()
@@ -174,45 +211,53 @@ def write_index(manifest: DataFrame, folder: str) -> DataFrame:
 
     def run(batches):
         system, path = _open_folder(folder)
-        name, out, at = f"{path}/{uuid.uuid4().hex}.cdx", None, 0
-        lines, directory, last, total = [], [], "", 0
-
-        def flush():
-            nonlocal at
-            body = zlib.compress("\n".join(x for _, x in lines).encode(), 6)
-            directory.append((lines[0][0], at, len(body)))
-            out.write(body)
-            at += len(body)
-            lines.clear()
-
+        name, out = f"{path}/{uuid.uuid4().hex}.cdx", None
+        first, last, total = "", "", 0
         for t in batches:
             for page, key, file, offset, length in zip(*(t.column(i).to_pylist() for i in range(5)), strict=True):
                 if out is None:
-                    out = system.open_output_stream(name, compression=None)
-                lines.append((key, json.dumps([key, page, file, offset, length], ensure_ascii=True)))
+                    out, first = _IndexFile(system, name, BLOCK_LINES), key
+                out.add(key, [key, page, file, offset, length])
                 last, total = key, total + 1
-                if len(lines) == BLOCK_LINES:
-                    flush()
-        if out is None:
-            return
-        if lines:
-            flush()
-        sparse = zlib.compress(json.dumps(directory).encode(), 6)
-        out.write(sparse)
-        out.write(struct.pack(_FOOTER, _MAGIC, at, len(sparse)))
-        out.close()
-        yield pa.RecordBatch.from_pydict({"path": [name], "first_key": [directory[0][0]], "last_key": [last], "blocks": [len(directory)], "captures": [total]})
+        if out is not None:
+            out.close()
+            yield pa.RecordBatch.from_pydict({"path": [name], "first_key": [first], "last_key": [last], "blocks": [len(out.directory)], "captures": [total]})
 
     ordered = manifest.repartitionByRange(shards, "key", "page_id").sortWithinPartitions("key", "page_id")
     return cut(ordered.select("page_id", "key", "path", "offset", "length").mapInArrow(run, SHARDS))
 
 
+def write_shard_list(shards: DataFrame, folder: str) -> str | None:
+    """Writes the shards in order of their keys as an index file of its own, in one task (a line for about SHARD_CAPTURES captures)."""
+
+    def run(batches):
+        system, path = _open_folder(folder)
+        name, out = f"{path}/{uuid.uuid4().hex}.top", None
+        for t in batches:
+            for row in zip(*(t.column(i).to_pylist() for i in range(3)), strict=True):
+                out = out or _IndexFile(system, name, BLOCK_LINES)
+                out.add(row[0], list(row))
+        if out is not None:
+            out.close()
+            yield pa.RecordBatch.from_pydict({"path": [name]})
+
+    ordered = shards.select("first_key", "last_key", "path").repartition(1).sortWithinPartitions("first_key", "last_key")
+    row = cut(ordered.mapInArrow(run, "path string")).first()
+    return row.path if row else None
+
+
+def _may_hold(directory: list[list], key: str) -> range:
+    """Numbers of the blocks that may hold the key: from the last that begins before it to the last that begins with it."""
+    return range(max(0, bisect_left(directory, key, key=lambda b: b[0]) - 1), bisect_right(directory, key, key=lambda b: b[0]))
+
+
 class _Files:
-    """Range reads, with the files that are in use kept open."""
+    """Range reads, with the files that are in use kept open and what was read last kept."""
 
     def __init__(self, folder: str):
         self.system, _ = _open_folder(folder)
         self.open: dict[str, pa.NativeFile] = {}
+        self.kept: OrderedDict = OrderedDict()
 
     def read(self, path: str, offset: int, length: int) -> bytes:
         f = self.open.get(path)
@@ -222,22 +267,72 @@ class _Files:
             f = self.open[path] = self.system.open_input_file(path)
         return f.read_at(length, offset)
 
-    def directory(self, shard: str) -> list[list]:
-        """(first key, offset, length) of the shard's blocks, from its end."""
-        size = self.system.get_file_info(shard).size
-        magic, at, n = struct.unpack(_FOOTER, self.read(shard, size - struct.calcsize(_FOOTER), struct.calcsize(_FOOTER)))
-        if magic != _MAGIC:
-            raise ValueError(f"{shard} is not an index shard")
-        return json.loads(zlib.decompress(self.read(shard, at, n)))
-
-    def block(self, shard: str, offset: int, length: int) -> list[list]:
-        """(key, page, file, offset, length) of the captures of a block."""
-        return [json.loads(x) for x in zlib.decompress(self.read(shard, offset, length)).decode().split("\n")]
+    def _keep(self, key, make):
+        if key in self.kept:
+            self.kept.move_to_end(key)
+        else:
+            if len(self.kept) >= 16:
+                self.kept.popitem(last=False)
+            self.kept[key] = make()
+        return self.kept[key]
+
+    def directory(self, path: str) -> list[list]:
+        """(first key, offset, length) of an index file's blocks, from its end."""
+
+        def make():
+            size = self.system.get_file_info(path).size
+            magic, at, n = struct.unpack(_FOOTER, self.read(path, size - struct.calcsize(_FOOTER), struct.calcsize(_FOOTER)))
+            if magic != _MAGIC:
+                raise ValueError(f"{path} is not an index file")
+            return json.loads(zlib.decompress(self.read(path, at, n)))
+
+        return self._keep(path, make)
+
+    def block(self, path: str, offset: int, length: int) -> list[list]:
+        """The lines of a block: (key, page, file, offset, length) of captures, (first key, last key, path) of shards."""
+        return self._keep((path, offset), lambda: [json.loads(x) for x in zlib.decompress(self.read(path, offset, length)).decode().split("\n")])
+
+    def holding(self, top: str, key: str):
+        """(shard, offset, length) of the blocks that hold captures of a key, by two bisections."""
+        tops = self.directory(top)
+        for i in _may_hold(tops, key):
+            for first, last, shard in self.block(top, *tops[i][1:]):
+                if not first <= key <= last:
+                    continue
+                sparse = self.directory(shard)
+                for j in _may_hold(sparse, key):
+                    begins, offset, length = sparse[j]
+                    lines = None if begins == key else self.block(shard, offset, length)
+                    if lines is None or lines[min(bisect_left(lines, key, key=lambda x: x[0]), len(lines) - 1)][0] == key:
+                        yield shard, offset, length
 
     def record(self, path: str, offset: int, length: int) -> dict:
         return parse(zlib.decompress(self.read(path, offset, length), 31))
 
 
+def _read_back(files: _Files, captures: list[list], payloads: bool = False) -> pa.RecordBatch:
+    """READ rows of captures, each record range-read and held against its headers; with the payloads if asked."""
+    rows = []
+    for _, page, path, at, n in sorted(captures, key=lambda c: (c[2], c[3])):
+        r = files.record(path, at, n)
+        kind, digest = r["fields"]["WARC-Type"], r["fields"]["WARC-Payload-Digest"].removeprefix("sha1:")
+        if r["fields"]["WARC-Record-ID"] != f"<urn:x-page:{page}>":
+            raise ValueError(f"{path}@{at} is not page {page}")
+        ref = None
+        if kind == "response":
+            if base64.b32encode(hashlib.sha1(r["payload"]).digest()).decode() != digest or len(r["payload"]) != r["payload_bytes"]:
+                raise ValueError(f"{path}@{at} is damaged")
+        else:
+            ref = int(r["fields"]["WARC-Refers-To"][len("<urn:x-page:") : -1])
+        rows.append((page, r["payload_bytes"], digest, kind, ref, r["fields"]["WARC-Target-URI"], r["payload"] if payloads and kind == "response" else None))
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
+    out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in f"{READ}, payload".split(", ")])
+    return out if payloads else out.select(range(len(kinds) - 1))
+
+
+HITS = "path string, offset long, length long, key string"
+
+
 @dataclass
 class Archive:
     """Written archives and their index."""
@@ -245,28 +340,55 @@ class Archive:
     spark: SparkSession
     folder: str
     shards: DataFrame
+    top: str | None
+
+    def lookup(self, urls: DataFrame, url_col: str = "url", payloads: bool = False) -> DataFrame:
+        """A row (READ) for each capture whose key is that of one of the URLs; a URL without captures gives none.
 
-    def lookup(self, urls: list[str]) -> list[tuple[str, dict]]:
-        """(url, record) of every capture of the given URLs, by two bisections and range reads."""
-        files = _Files(self.folder)
-        shards = sorted((r.first_key, r.last_key, r.path) for r in self.shards.select("first_key", "last_key", "path").collect())
-        lasts = [s[1] for s in shards]
-        out = []
-        for url in urls:
-            key = surt(url)
-            i = bisect_left(lasts, key)
-            while i < len(shards) and shards[i][0] <= key:
-                sparse = files.directory(shards[i][2])
-                firsts = [b[0] for b in sparse]
-                for j in range(max(0, bisect_left(firsts, key) - 1), bisect_right(firsts, key)):
-                    for k, _, path, offset, length in files.block(shards[i][2], *sparse[j][1:]):
-                        if k == key:
-                            out.append((url, files.record(path, offset, length)))
-                i += 1
-        return out
+        ``payloads`` adds the responses' bytes as a column, null for revisits.
+        Repeated URLs and URLs of one key count once; a null or empty one has
+        the key ")/".
+        """
+        schema = f"{READ}, payload binary" if payloads else READ
+        if self.top is None:
+            return self.spark.createDataFrame([], schema)
+        folder, top = self.folder, self.top
+
+        def keys(batches):
+            for t in batches:
+                yield pa.RecordBatch.from_pydict({"key": pa.array([surt(u) for u in t.column(0).to_pylist()], pa.string())})
+
+        def blocks(batches):
+            files = _Files(folder)
+            for t in batches:
+                found = [(*hit, key) for key in t.column(0).to_pylist() for hit in files.holding(top, key)]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], names=["path", "offset", "length", "key"])
+
+        def records(batches):
+            files, now, wanted = _Files(folder), None, set()
+
+            def of():
+                captures = [c for c in files.block(*now) if c[0] in wanted]
+                return [_read_back(files, captures, payloads)] if captures else []
+
+            for t in batches:
+                for *block, key in zip(*(t.column(i).to_pylist() for i in range(4)), strict=True):
+                    if block != now:
+                        if now:
+                            yield from of()
+                        now, wanted = block, set()
+                    wanted.add(key)
+            if now:
+                yield from of()
+
+        asked = urls.select(F.col(f"`{url_col}`").cast("string")).distinct().mapInArrow(keys, "key string").distinct()
+        hits = cut(asked.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(blocks, HITS))
+        tasks = max(1, -(-hits.select("path", "offset").distinct().count() // 8))
+        return hits.repartition(tasks, "path", "offset").sortWithinPartitions("path", "offset").mapInArrow(records, schema)
 
     def read_all(self) -> DataFrame:
-        """A row for each record, read from the archives by way of all index blocks."""
+        """A row (READ) for each record, by way of all index blocks."""
         folder = self.folder
 
         def blocks(batches):
@@ -279,23 +401,8 @@ class Archive:
         def records(batches):
             files = _Files(folder)
             for t in batches:
-                for shard, offset, length in zip(*(t.column(i).to_pylist() for i in range(3)), strict=True):
-                    rows = []
-                    captures = sorted(files.block(shard, offset, length), key=lambda c: (c[2], c[3]))
-                    for _, page, path, at, n in captures:
-                        r = files.record(path, at, n)
-                        kind, digest = r["fields"]["WARC-Type"], r["fields"]["WARC-Payload-Digest"].removeprefix("sha1:")
-                        if r["fields"]["WARC-Record-ID"] != f"<urn:x-page:{page}>":
-                            raise ValueError(f"{path}@{at} is not page {page}")
-                        ref = None
-                        if kind == "response":
-                            if base64.b32encode(hashlib.sha1(r["payload"]).digest()).decode() != digest or len(r["payload"]) != r["payload_bytes"]:
-                                raise ValueError(f"{path}@{at} is damaged")
-                        else:
-                            ref = int(r["fields"]["WARC-Refers-To"][len("<urn:x-page:") : -1])
-                        rows.append((page, r["payload_bytes"], digest, kind, ref, r["fields"]["WARC-Target-URI"]))
-                    cols = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()), strict=True)], names=[x.split()[0] for x in READ.split(", ")])
+                for block in zip(*(t.column(i).to_pylist() for i in range(3)), strict=True):
+                    yield _read_back(files, files.block(*block))
 
         listed = cut(self.shards.select("path").mapInArrow(blocks, "path string, offset long, length long"))
         tasks = max(1, -(-listed.count() // 8))
@@ -310,11 +417,13 @@ def archive(pages: DataFrame, folder: str | None = None, id_col="page_id", url_c
 
     Defined cases: null html is an empty payload; a null or empty URL has the
     key ")/"; rows with a null id are not written; rows that repeat the id of a
-    response are responses too; line breaks in URLs are percent-encoded; payloads
+    response are responses too (a page id is looked up by its URL, so rows that
+    share an id stay apart); line breaks in URLs are percent-encoded; payloads
     below ``min_revisit_bytes`` are responses always; other columns are ignored;
     an empty table gives no files.
     """
     spark = prepare(pages.sparkSession)
     folder = folder or new_folder(spark, "warc")
     manifest = write_archive(pages, folder, id_col, url_col, html_col, min_revisit_bytes)
-    return Archive(spark, folder, write_index(manifest, folder))
+    shards = write_index(manifest, folder)
+    return Archive(spark, folder, shards, write_shard_list(shards, folder))

@@ -22,19 +22,29 @@ def want(rows, least=0):
     return out
 
 
+def read(df):
+    rows = df.collect()
+    out = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
 def got(a):
-    return {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in a.read_all().collect()}
+    return read(a.read_all())
 
 
 def test_pages_come_back(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rows = [(r.page_id, r.url, r.html) for r in df.collect()]
     a = warc.archive(df)
-    assert got(a) == want(rows)
-    for i, url, html in rows[::25]:
-        found = [r for _, r in a.lookup([url]) if r["fields"]["WARC-Record-ID"] == f"<urn:x-page:{i}>"]
-        assert len(found) == 1 and found[0]["payload"].decode() == html
-    assert a.lookup(["http://nowhere.test/"]) == []
+    assert got(a) == read(a.lookup(df)) == want(rows)
+    some = df.where("page_id % 25 = 3")
+    found = {r.page_id: r for r in a.lookup(some, payloads=True).collect()}
+    for r in some.collect():
+        assert found[r.page_id].payload is None and found[r.page_id].refers_to is not None or found[r.page_id].payload.decode() == r.html
+    keys = {warc.surt(r.url) for r in some.collect()}
+    assert set(found) == {i for i, u, _ in rows if warc.surt(u) in keys}
+    assert a.lookup(spark.createDataFrame([("http://nowhere.test/",)], "url string")).count() == 0
 
 
 def test_revisits_and_odd_pages(spark, monkeypatch):
@@ -44,8 +54,14 @@ def test_revisits_and_odd_pages(spark, monkeypatch):
     rows += [(50, None, None), (51, "", ""), (52, "x\ny", "z" * 300000), (None, "u", "same")]
     df = spark.createDataFrame([(*r, "c") for r in rows], "page_id long, url string, html string, path string")
     a = warc.archive(df)
-    assert got(a) == want(rows)
-    assert len(a.lookup(["https://h1.example.org/p"])) == 10
+    assert got(a) == read(a.lookup(df)) == want(rows)
+    assert a.shards.count() > 2 and a.top
+    urls = lambda *u: spark.createDataFrame([(x,) for x in u], "link string")
+    assert set(read(a.lookup(urls("https://h1.example.org/p"), "link"))) == set(range(1, 40, 4))
+    assert set(read(a.lookup(urls("https://h1.example.org/p", None, "http://h1.example.org/p", "zz", "a", "http://h2.example.org/q"), "link"))) == {*range(1, 40, 4), 50, 51}
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 0)
+    assert got(warc.archive(df)) == want(rows)
+    monkeypatch.undo()
     assert got(warc.archive(df, min_revisit_bytes=5)) == want(rows, 5)
 
 
@@ -65,3 +81,32 @@ def test_surt():
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archive(df).read_all().count() == 0
+    assert warc.archive(df).lookup(df, payloads=True).count() == 0
+
+
+def test_repeated_rows(spark):
+    rows = [(1, "http://a.b/", "x"), (1, "http://a.b/", "x"), (2, "http://a.b/", "x"), (2, "http://c.d/", "y")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = sorted((r.page_id, r.record_type, r.refers_to or 0, r.url) for r in warc.archive(df).lookup(df).collect())
+    assert out == [(1, "response", 0, "http://a.b/")] * 2 + [(2, "response", 0, "http://c.d/"), (2, "revisit", 1, "http://a.b/")]
+
+
+def test_look_up_finds_keys_at_all_edges(tmp_path):
+    from pyarrow import fs
+
+    keys = ["b"] * 5 + ["c"] + ["d"] * 9 + ["f", "g"] + ["h"] * 3
+    top = warc._IndexFile(fs.LocalFileSystem(), str(tmp_path / "top"), 2)
+    cuts = [0, 2, 4, 11, 12, 18, len(keys)]
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        shard = warc._IndexFile(fs.LocalFileSystem(), str(tmp_path / str(k)), 2)
+        for i in range(a, b):
+            shard.add(keys[i], [keys[i], i, "f", 0, 0])
+        shard.close()
+        top.add(keys[a], [keys[a], keys[b - 1], str(tmp_path / str(k))])
+    top.close()
+    files = warc._Files("file://" + str(tmp_path))
+    for key in "abcdefghi":
+        hits = list(files.holding(str(tmp_path / "top"), key))
+        assert len(hits) == len(set(hits))
+        assert sorted(c[1] for h in hits for c in files.block(*h) if c[0] == key) == [i for i, k in enumerate(keys) if k == key]
+        assert all(any(c[0] == key for c in files.block(*h)) for h in hits)
