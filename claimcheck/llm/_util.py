@@ -72,6 +72,11 @@ def broadcast_if(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Dealt by ``cols`` to all shuffle partitions, for work that costs more than its bytes tell: few are not merged."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable from each node of an edge.
 

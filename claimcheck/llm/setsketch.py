@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimcheck.llm import _words
-from claimcheck.llm._util import broadcast_if, components, cut, prepare
+from claimcheck.llm._util import broadcast_if, components, cut, prepare, spread
 
 M = 256  # registers, a power of two
 B = 1.1  # base of the register scale
@@ -182,12 +182,14 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, per_t
     batch of partners.  Texts are joined to what is wanted of them in one join.
     """
     p = cut(pairs)
-    hub = p.groupBy("a", "ida", "tha").agg(F.ceil(F.count("*") / per_task).cast("int").alias("shards"))
+    hub = cut(p.groupBy("a", "ida", "tha").agg(F.ceil(F.count("*") / per_task).cast("int").alias("shards")))
+    many = broadcast_if(hub.where("shards > 1").select("a", "shards"), BROADCAST_GROUPS)
+    shards = F.coalesce("shards", F.lit(1))
     hubs = hub.select(
         F.col("ida").alias("id"), F.col("tha").alias("th"), "a", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(None).cast("long").alias("b")
     )
-    partners = p.join(hub.select("a", "shards"), "a").select(
-        F.col("idb").alias("id"), F.col("thb").alias("th"), "a", F.pmod(F.xxhash64("b"), F.col("shards")).cast("int").alias("shard"), "b"
+    partners = p.join(many, "a", "left").select(
+        F.col("idb").alias("id"), F.col("thb").alias("th"), "a", F.pmod(F.xxhash64("b"), shards).cast("int").alias("shard"), "b"
     )
     wanted = cut(hubs.unionByName(partners))
 
@@ -212,9 +214,7 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, per_t
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     return (
-        _fetched(texts, wanted)
-        .select("a", "shard", "b", "text")
-        .repartition("a", "shard")
+        spread(_fetched(texts, wanted).select("a", "shard", "b", "text"), "a", "shard")
         .sortWithinPartitions("a", "shard", F.col("b").asc_nulls_first())
         .mapInArrow(run, "a long, b long")
     )
@@ -258,11 +258,12 @@ def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: Dat
     returned.
     """
     least = floor_of_estimate(num / den)
-    m = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
-    split = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    # what is joined to members by key is written first: Spark can split a hot key between two exchanges only
+    m = cut(members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp")))
+    split = cut(m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"))
     m = cut(m.join(split, "key"))
     sizes = m.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("c", -F.col("comp"))).alias("grp"))
+    main = cut(sizes.groupBy("key").agg(F.max(F.struct("c", (-F.col("comp")).alias("m"))).alias("c")).select("key", (-F.col("c.m")).alias("grp")))
     rows = m.join(main, "key").groupBy("grp", "node", "comp").agg(F.lit(1).alias("one")).select("grp", "node", "comp", (F.col("comp") != F.col("grp")).alias("odd"))
     rows = cut(rows)
     # groups of one block need no size, so what is joined has one row for each BLOCK rows at most
@@ -307,7 +308,7 @@ def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: Dat
             yield from likely(part)
 
     wanted = cut(
-        sketched.repartition("grp", "bx", "by")
+        spread(sketched, "grp", "bx", "by")
         .sortWithinPartitions("grp", "bx", "by")
         .mapInArrow(search, _APART.replace("y int,", "y int, right boolean,"))
     )
@@ -351,8 +352,7 @@ def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: Dat
             yield _pairs(found)
 
     return (
-        _fetched(texts, wanted)
-        .repartition("grp", "x", "y")
+        spread(_fetched(texts, wanted), "grp", "x", "y")
         .sortWithinPartitions("grp", "x", "y")
         .mapInArrow(run, "a long, b long")
     )
@@ -438,10 +438,10 @@ def near_duplicates(
         "node",
         F.explode(F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * ROWS + 1, ROWS)) for i in range(BANDS)])).alias("key"),
     )
-    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    shared = cut(keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
     members = cut(keyed.join(shared, "key"))
     density = members.groupBy("node").agg(F.sum("c").alias("density"))
-    centre = members.join(density, "node").groupBy("key").agg(F.max(F.struct("density", (-F.col("node")).alias("m"))).alias("c"))
+    centre = cut(members.join(density, "node").groupBy("key").agg(F.max(F.struct("density", (-F.col("node")).alias("m"))).alias("c")))
     members = cut(members.select("key", "node").join(centre.select("key", (-F.col("c.m")).alias("centre"), "c.density"), "key"))
     least = floor_of_estimate(num / den)
     # each member goes to one centre first, and to the others only while a bucket of theirs is split
@@ -462,7 +462,7 @@ def near_duplicates(
         labels = components(star.unionByName(more))
     named = classes.join(labels, "node", "left").select("fp1", "fp2", "n_shingles", "id", "th", F.coalesce("component", "node").alias("component"))
     named = cut(named)
-    chosen = named.groupBy("component").agg(F.min_by(F.struct("id", "th"), order).alias("k"))
+    chosen = cut(named.groupBy("component").agg(F.min_by(F.struct("id", "th"), order).alias("k")))
     named = named.join(chosen, "component").select("fp1", "fp2", "n_shingles", "k")
     kept = F.col("id").eqNullSafe(F.col("k.id")) & (F.col("th") == F.col("k.th"))
     full = feats.where("n_shingles > 0").join(named, ["fp1", "fp2", "n_shingles"]).select("id", "th", "n_shingles", F.col("k.id").alias("component_id"), kept.alias("kept"))
