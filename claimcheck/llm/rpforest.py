@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimcheck.llm._util import components, cut, prepare
+from claimcheck.llm._util import components, cut, prepare, spread
 from claimcheck.llm._vectors import as_double, matrix, usable
 
 THRESHOLD = 0.93
@@ -316,7 +316,7 @@ def _parts(reps: DataFrame, threshold: float, trees: int, part: int, leaf: int)
             for k, at in enumerate(ends(matrix(t.column("vec")), threshold, range(tree, tree + 1), leaf)[1]):
                 yield pa.RecordBatch.from_arrays([pa.array([grp] * len(at)), pa.array(rep[at]), pa.array(np.full(len(at), _node_id(tree, path, k)))], names=["grp", "rep", "wid"])
 
-    inside = done.repartition(*TASK).sortWithinPartitions(*TASK, "rep").mapInArrow(inner, "grp string, rep long, wid long")
+    inside = spread(done, *TASK).sortWithinPartitions(*TASK, "rep").mapInArrow(inner, "grp string, rep long, wid long")
     within = cut(whole.select("grp", "rep", "wid").unionByName(inside).groupBy("grp", "rep").agg(F.collect_set("wid").alias("w")))
     blocks = F.ceil(F.col("n") / max(1, part // 2)).cast("int")
     dealt = whole.join(within, ["grp", "rep"]).withColumn("at", F.pmod(F.xxhash64("rep", F.lit(3)), blocks).cast("int"))
@@ -423,7 +423,7 @@ def near_duplicates(
                 yield from counted(rep[order], counts, rep[order[e[:, 0]]], rep[order[e[:, 1]]])
 
     found = cut(
-        parts.repartition(*TASK)
+        spread(parts, *TASK)
         .sortWithinPartitions(*TASK, "rep")
         .mapInArrow(compare, "a long, b long, n long")
         .select(F.least("a", "b").alias("a"), F.when(F.col("b").isNotNull(), F.greatest("a", "b")).alias("b"), "n")
@@ -439,7 +439,7 @@ def near_duplicates(
     others = others.groupBy("rep").agg(F.sum("copies").alias("others"))
     labels = components(found.where("kind < 1").select("a", "b")).withColumnRenamed("node", "rep")
     named = cut(classes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
-    smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    smallest = cut(named.groupBy("component").agg(F.min("id").alias("component_id")))
     per_class = (
         named.join(smallest, "component")
         .join(others, "rep", "left")
