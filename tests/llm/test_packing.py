@@ -53,3 +53,46 @@ def test_edges(spark, tmp_path):
     got = packing.unpack(spark.read.parquet(str(tmp_path / "p"))).collect()
     assert sum(r.doc_id == 1 for r in got) == 2
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def plain(rows, context, block):
+    """(doc, piece) pairs of the packed rows by a plain search, block by block; of rows with equal room the one that got it last."""
+    enc = packing.tokenizer(packing.VOCAB)
+    out, held, total = [], [], 0
+
+    def place():
+        made, free = [], []  # free: (room, row) in order of time
+        for n, name in sorted(held, key=lambda x: -x[0]):
+            fit = [f for f in free if f[0] >= n]
+            if fit:
+                least = min(f[0] for f in fit)
+                room, row = next(f for f in reversed(fit) if f[0] == least)
+                free.remove((room, row))
+            else:
+                room, row = context, len(made)
+                made.append([])
+            made[row].append(name)
+            if room > n:
+                free.append((room - n, row))
+        out.extend(made)
+
+    for d, text in rows:
+        n = len(enc.encode_ordinary(text or "")) + 1
+        held += [(min(context, n - k), (d, k // context)) for k in range(0, n, context)]
+        total += n
+        if total >= block:
+            place()
+            held, total = [], 0
+    place()
+    return out
+
+
+def test_rows_of_a_partition_equal_a_plain_search(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", 40_000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").coalesce(1)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    packed = packing.pack(docs, context=256).collect()
+    got = [list(zip(r.doc_ids, r.piece_nos, strict=True)) for r in packed]
+    assert got == plain(rows, 256, 40_000)
+    assert [r.pack_id for r in packed] == [f"{g[0][0]}:{g[0][1]}" for g in got] and len({r.pack_id for r in packed}) == len(packed)
+    assert sum(r.n_tokens for r in packed) >= 0.99 * 256 * len(packed)
