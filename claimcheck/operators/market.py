@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +36,6 @@ def gaps(bars: DataFrame, ranges: DataFrame, cfg: Settings, interval: str | None
     return out.where("n_bars < threshold").select("instrument", "slice_start", "slice_end", "n_bars", "expected_bars", "threshold")
 
 
-def fetch_missing(missing: DataFrame, fetch: Callable) -> tuple[list[DataFrame], list[str]]:
-    """Calls a bar provider for each gap, whatever their number; errors are kept, not raised."""
-    found, errors = [], []
-    for r in missing.orderBy("instrument", "slice_start").toLocalIterator():
-        try:
-            found.append(fetch(r.instrument, r.slice_start, r.slice_end))
-        except Exception as e:  # noqa: BLE001 - a provider's own errors
-            errors.append(f"{r.instrument} {r.slice_start}: {e}")
-    return found, errors
+def fetch_missing(missing: DataFrame, provider, interval: str) -> tuple[DataFrame, DataFrame]:
+    """(bars, errors) of all gaps, whatever their number, in one plan; errors are kept by gap, not raised."""
+    return provider.fetch_ranges(missing.select("instrument", "slice_start", "slice_end"), interval)

@@ -64,6 +64,45 @@ VALUES = {
 }
 
 
+TABLES = {
+    "messages": MESSAGES,
+    "classifications": CLASSIFICATIONS,
+    "signals": SIGNALS,
+    "follow_ups": FOLLOW_UPS,
+    "links": LINKS,
+    "reported": REPORTED,
+    "bars": BARS,
+    "actual": ACTUAL,
+    "resolver_cache": RESOLVER_CACHE,
+}
+
+
+def columns(table: str) -> list[tuple[str, str]]:
+    """(name, type) of a table's columns."""
+    return [tuple(c.split(" ", 1)) for c in TABLES[table].split(", ")]
+
+
+def decoded(df: DataFrame, table: str) -> DataFrame:
+    """Stored rows as the table's schema has them.
+
+    Columns that the stored table lacks are null, others than the schema's go;
+    lists are never null, message texts neither, and a coded value that is none
+    of its column's is an error.
+    """
+    out = []
+    for name, kind in columns(table):
+        x = F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)
+        if kind.startswith("array"):
+            x = F.coalesce(x, F.array().cast(kind))
+        if (table, name) == ("messages", "text"):
+            x = F.coalesce(x, F.lit(""))
+        if name in VALUES:
+            wrong = F.raise_error(F.concat(F.lit(f"{table}.{name} cannot be "), x))
+            x = F.when(x.isNull() | x.isin(VALUES[name]), x).otherwise(wrong)
+        out.append(x.alias(name))
+    return df.select(out)
+
+
 def bad_values(df: DataFrame, column: str) -> DataFrame:
     """Rows whose coded column holds none of its values."""
     return df.where(F.col(column).isNull() | ~F.col(column).isin(VALUES[column]))

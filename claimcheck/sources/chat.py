@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimcheck import schemas
 from claimcheck.functions import scalars as S
 from claimcheck.functions import text as T
 
@@ -72,6 +73,47 @@ def backfill(raw: DataFrame, existing: DataFrame | None = None) -> tuple[DataFra
     return new.drop("stem"), stats
 
 
+# The fields of a chat service's message objects.
+API_FIELDS = "id long, date string, sender_id string, message string, reply_to_msg_id long, views long, forwards long, replies struct<replies: long>"
+
+
+def from_api(objects: DataFrame, group: str, json_col: str = "json", method: str = "api") -> DataFrame:
+    """Messages of one group from JSON objects, one a row; objects without a number or a time are left out.
+
+    The count of replies is nested, and null where the object or the count is missing.
+    """
+    m = objects.select(F.from_json(F.col(json_col), API_FIELDS).alias("m"))
+    rows = m.select(
+        S.uid(F.lit(group), F.col("m.id").cast("string")).alias("message_uid"), F.lit(group).alias("group_id"), F.col("m.id").alias("message_id"), S.utc(F.col("m.date")).alias("ts"),
+        F.col("m.sender_id").alias("sender_id"), T.strip(F.coalesce("m.message", F.lit(""))).alias("text"), F.col("m.reply_to_msg_id").alias("reply_to_msg_id"),
+        F.col("m.views").alias("views"), F.col("m.forwards").alias("forwards"), F.col("m.replies.replies").alias("reply_count"), F.lit(method).alias("ingest_method"),
+    )
+    return rows.where("message_id is not null and ts is not null")
+
+
+class ChatApi:
+    """Messages of targets from a chat service's client.
+
+    ``resolve`` gives a target's group id; ``pages`` iterates over lists of
+    message objects as JSON texts, newest first.  Pages older than ``start``
+    are not asked for, and no more than one page is held at a time.
+    """
+
+    def __init__(self, spark: SparkSession, resolve: Callable[[str], str], pages: Callable[[str], Iterable[list[str]]]):
+        self.spark, self.resolve, self.pages = spark, resolve, pages
+
+    def fetch(self, key: str, folder: str, start: str | None = None, end: str | None = None) -> DataFrame:
+        """A group's messages from start to end; pages are written below ``folder`` as they come."""
+        path = f"{folder}/{key}"
+        self.spark.createDataFrame([], schemas.MESSAGES).write.mode("overwrite").parquet(path)
+        for page in self.pages(key):
+            rows = from_api(self.spark.createDataFrame([(x,) for x in page], "json string"), key)
+            accept(rows, start, end).write.mode("append").parquet(path)
+            if start is not None and rows.where(F.col("ts") < S.utc(F.lit(start))).limit(1).count():
+                break
+        return accept(self.spark.read.parquet(path))
+
+
 def accept(rows: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """The contract of live sources: rows from start to end, texts stripped, in order of time and number."""
     out = rows.withColumn("text", T.strip(F.coalesce("text", F.lit(""))))

@@ -9,6 +9,12 @@ from claimcheck.functions import scalars as S
 from claimcheck.functions import text as T
 
 
+# How a manifest line names a user and an id.
+USER = r"(?i)\busername:\s*([A-Za-z0-9_@]+|None|N/A)\b"
+NUMBER = r"(?i)\bid:\s*(-?\d+)\b"
+NO_USER = ("none", "n/a", "na")
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """(line_no, line) of a manifest file, lines in order."""
     whole = spark.read.text(path, wholetext=True)
@@ -21,9 +27,9 @@ def parse(lines: DataFrame) -> DataFrame:
     Of lines with one target (ids by value, names by lower case) the first stays.
     """
     line = T.strip(F.col("line"))
-    user = F.nullif(F.regexp_extract(line, r"(?i)\busername:\s*([A-Za-z0-9_@]+|None|N/A)\b", 1), F.lit(""))
-    user = F.when(~F.lower(user).isin("none", "n/a", "na"), F.regexp_replace(user, "^@+", ""))
-    number = F.nullif(F.regexp_extract(line, r"(?i)\bid:\s*(-?\d+)\b", 1), F.lit(""))
+    user = F.nullif(F.regexp_extract(line, USER, 1), F.lit(""))
+    user = F.when(~F.lower(user).isin(*NO_USER), F.regexp_replace(user, "^@+", ""))
+    number = F.nullif(F.regexp_extract(line, NUMBER, 1), F.lit(""))
     rest = F.regexp_replace(T.strip(F.element_at(F.split(line, r"\|"), -1)), "^@+", "")
     target = F.coalesce(user, number, rest)
     label = T.strip(F.split(line, r"\|")[0])
@@ -38,7 +44,7 @@ def parse(lines: DataFrame) -> DataFrame:
 def label_map(lines: DataFrame) -> DataFrame:
     """(group_id, label) of lines with an id; the last of a repeated id counts."""
     line = T.strip(F.col("line"))
-    number = F.nullif(F.regexp_extract(line, r"(?i)\bid:\s*(-?\d+)\b", 1), F.lit(""))
+    number = F.nullif(F.regexp_extract(line, NUMBER, 1), F.lit(""))
     rows = lines.where(~line.startswith("#")).select("line_no", number.alias("group_id"), T.strip(F.split(line, r"\|")[0]).alias("label"))
     return rows.where("group_id is not null and label <> ''").groupBy("group_id").agg(F.max_by("label", "line_no").alias("label"))
 

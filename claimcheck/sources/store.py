@@ -58,3 +58,108 @@ def read(spark: SparkSession, path: str, group: str | None = None) -> DataFrame:
 def lookup(outcomes: DataFrame, signal_id: str) -> DataFrame:
     """The outcome rows of one signal."""
     return outcomes.where(F.col("signal_id") == signal_id)
+
+
+class Store:
+    """The tables of a data folder, each a row of versions: NAME/v000001, NAME/v000002, ..
+
+    A table is replaced by a new version, which counts once Spark has marked it
+    complete; readers of the one before are left alone, as are its files while
+    the new one is made from them.  Older versions are removed.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _fs(self, path: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def _versions(self, name: str) -> list[tuple[int, bool]]:
+        fs, at = self._fs(f"{self.root}/{name}")
+        if not fs.exists(at):
+            return []
+        found = [x.getPath().getName() for x in fs.listStatus(at) if x.isDirectory()]
+        numbers = sorted(int(n[1:]) for n in found if n[:1] == "v" and n[1:].isdigit())
+        return [(n, fs.exists(self._fs(f"{self._at(name, n)}/_SUCCESS")[1])) for n in numbers]
+
+    def _at(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/v{version:06d}"
+
+    def path(self, name: str) -> str | None:
+        """The folder of the newest complete version."""
+        done = [n for n, complete in self._versions(name) if complete]
+        return self._at(name, done[-1]) if done else None
+
+    def get(self, name: str) -> DataFrame | None:
+        path = self.path(name)
+        if path is None:
+            return None
+        df = self.spark.read.parquet(path)
+        return schemas.decoded(df, name) if name in schemas.TABLES else df
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self.get(name)
+        if df is None:
+            raise KeyError(f"{self.root} has no table {name}")
+        return df
+
+    def empty(self, name: str) -> DataFrame:
+        return self.spark.createDataFrame([], schemas.TABLES[name])
+
+    def replace(self, name: str, df: DataFrame) -> int:
+        """Writes a table anew and returns its rows; ``df`` may read the version before."""
+        seen = self._versions(name)
+        df.write.parquet(self._at(name, seen[-1][0] + 1 if seen else 1))
+        for n, _ in seen[:-1]:
+            fs, at = self._fs(self._at(name, n))
+            fs.delete(at, True)
+        return self.spark.read.parquet(self.path(name)).count()
+
+    def upsert(self, name: str, df: DataFrame) -> int:
+        """Puts rows in place of those of their key and keeps all others; returns the table's rows."""
+        have = self.get(name)
+        cols = [c for c, _ in schemas.columns(name)]
+        new = schemas.decoded(df, name)
+        return self.replace(name, merged(have, new, name).select(cols) if have is not None else _first_of_key(new, schemas.KEYS[name], schemas.KEYS[name]))
+
+    def add(self, name: str, df: DataFrame) -> int:
+        """Appends rows and returns how many; files of a task that fails are not seen."""
+        path = self.path(name)
+        if path is None:
+            return self.replace(name, df)
+        df = df.persist()
+        n = df.count()
+        df.write.mode("append").parquet(path)
+        df.unpersist()
+        return n
+
+    def migrate(self) -> list[int]:
+        """Takes the folder to the newest schema, step by step; returns the steps taken."""
+        have = self.get("schema_versions")
+        done = {r.version for r in have.collect()} if have is not None else set()
+        taken = []
+        for version, step in sorted(MIGRATIONS.items()):
+            if version not in done:
+                step(self)
+                self.add("schema_versions", self.spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("applied_at")))
+                taken.append(version)
+        return taken
+
+
+def _create(tables: Store) -> None:
+    """Makes the tables that are missing."""
+    for name in schemas.TABLES:
+        if name != "resolver_cache" and tables.path(name) is None:
+            tables.replace(name, tables.empty(name))
+
+
+def _conform(tables: Store) -> None:
+    """Writes tables whose columns are not the schema's anew."""
+    for name in schemas.TABLES:
+        path = tables.path(name)
+        if path is not None and tables.spark.read.parquet(path).columns != [c for c, _ in schemas.columns(name)]:
+            tables.replace(name, tables[name])
+
+
+MIGRATIONS = {1: _create, 2: _conform}
