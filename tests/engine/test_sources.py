@@ -1,8 +1,9 @@
 """Readers, stores, manifest, resolver, report, stream and command line."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from claimcheck import cli, config, report, resolver
+from claimcheck import cli, config, report, resolver, schemas
 from claimcheck.config import Settings
 from claimcheck.functions import scalars as S
 from claimcheck.operators import classify, link, market
@@ -107,25 +108,87 @@ def test_settings_file(tmp_path):
     assert (c.link_window_hours, c.default_sl_policy, c.classify_threshold) == (24.0, "FIXED_PIPS", 0.8)
 
 
-def test_resolver(spark):
-    m = h.messages(spark, [(1, 0, "good morning", None), (2, 1, "XAUUSD BUY NOW 2410\nSL 2400\nTP1 2420", None)])
+def counting(folder):
+    """A judge whose calls leave a file for each text, as it runs in other processes."""
 
     def judge(texts):
-        return [{"class": "NOISE", "confidence": 3} if "morning" in t else {"class": "SIGNAL", "direction": "SELL", "entry_low": 9.0, "entry_high": 8.0} for t in texts]
+        import uuid
+        from pathlib import Path
 
-    hooks = {"classify": resolver.classify_hook(judge), "signals": resolver.parse_hook(judge, "signal_id", resolver.SIGNAL_FIELDS)}
+        for t in texts:
+            (Path(folder) / uuid.uuid4().hex).write_text(t)
+        return [
+            None if "dunno" in t
+            else {"class": "NOISE", "confidence": 3, "_tokens": [1000, 200]} if "morning" in t.lower()
+            else {"class": "SIGNAL", "direction": "SELL", "entry_low": 9.0, "entry_high": 8.0, "quality_flag": "FINE", "index": 1}
+            for t in texts
+        ]
+
+    return judge
+
+
+@pytest.fixture
+def asked(tmp_path):
+    (tmp_path / "asked").mkdir()
+    return lambda: sorted(p.read_text() for p in (tmp_path / "asked").iterdir())
+
+
+def test_resolver_hooks_ask_once(spark, tmp_path, asked):
+    m = h.messages(spark, [(1, 0, "good morning", None), (2, 1, "XAUUSD BUY NOW 2410\nSL 2400\nTP1 2420", None), (3, 2, "Good  MORNING", None), (4, 3, "dunno really", None)])
+    r = resolver.Resolver(counting(tmp_path / "asked"), resolver.Cache(spark, str(tmp_path / "cache")), "m", price=(2.0, 10.0))
+    hooks = {"classify": resolver.classify_hook(r), "signals": resolver.parse_hook(r, "signal_id", resolver.SIGNAL_FIELDS)}
     p = Pipeline(m, resolvers=hooks)
-    got = {r.message_uid: (r["class"], r.method, r.confidence) for r in p.classes.collect()}
-    assert got["g:1"] == ("NOISE", "llm", 1.0) and got["g:2"][1] == "rules"
-    assert [r.parse_method for r in p.signals.collect()] == ["rules"]
-    unsure = resolver.parse_hook(judge, "signal_id", resolver.SIGNAL_FIELDS)(m, p.signals.where("false"), Settings())
-    assert {(r.entry_low, r.parse_method) for r in unsure.where("signal_id = 'g:2'").collect()} == {(8.0, "llm")}
-    cache = spark.createDataFrame([], "cache_key string, response_json string, cost_usd double")
+    got = {x.message_uid: (x["class"], x.method, x.confidence) for x in p.classes.collect()}
+    assert got["g:1"] == got["g:3"] == ("NOISE", "llm", 1.0) and got["g:2"][1] == "rules" and got["g:4"][:2] == ("UNCERTAIN", "rules")
+    assert [x.parse_method for x in p.signals.collect()] == ["rules"]
+    assert len(asked()) == 2  # of two texts alike one
+    assert resolver.spent(r.cache.read()).first()[0] == pytest.approx(0.004)
+    unsure = hooks["signals"](m, p.signals.where("false"), Settings())
+    for _ in range(2):
+        rows = {x.signal_id: x for x in unsure.collect()}
+    assert set(rows) == {"g:2"} and rows["g:2"].entry_low == 8.0 and rows["g:2"].parse_method == "llm" and rows["g:2"].quality_flag is None
+    assert len(asked()) == 5  # three texts under another prompt, once each
+    assert hooks["signals"](m, p.signals.where("false"), Settings()).count() == 1
+    assert len(asked()) == 6  # only what the judge had left is asked again
+
+
+def test_tiebreak_hook(spark, tmp_path, asked):
+    r = resolver.Resolver(counting(tmp_path / "asked"), resolver.Cache(spark, str(tmp_path / "cache")), "m")
+    s = h.signals(spark, [(f"g:{i}", i, "BUY", 4700.0, None, None, 4690.0, [4710.0], "COMPLETE") for i in (1, 2, 3)])
+    f = h.follow_ups(spark, [("g:9", 9, "UPDATE", None, None, 1.0)])
+    m = h.messages(spark, [(9, 9, "x", None)])
+    best = link.interval_candidates(f, s, Settings()).orderBy(F.desc("score"), "signal_ts").collect()
+    assert best[0].score - best[1].score <= Settings().tiebreak_epsilon
+    out = link.link(f, s, m, Settings(), resolver.tiebreak_hook(r)).collect()
+    assert [x.signal_id for x in out] == [best[1].signal_id] and len(asked()) == 1
+
+
+def test_resolver_budget_cache_and_patience(spark, tmp_path, asked):
+    cache = resolver.Cache(spark, str(tmp_path / "cache"))
     texts = spark.createDataFrame([("a", "hi  there"), ("b", "HI there"), ("c", "morning")], "text_id string, text string")
-    out = resolver.answers(texts, cache, judge, "m", "p", 0.5, 1.0).collect()
-    assert len(out) == 3 and len({r.cache_key for r in out}) == 2
+    r = resolver.Resolver(counting(tmp_path / "asked"), cache, "m", cost_each=0.5, budget=0.9)
     with pytest.raises(resolver.BudgetExceeded):
-        resolver.answers(texts, cache, judge, "m", "p", 0.6, 1.0)
+        r.answers(texts, "p")
+    assert asked() == [] and cache.get("m:p:x") is None
+    r = resolver.Resolver(counting(tmp_path / "asked"), cache, "m", cost_each=0.5, budget=1.0)
+    out = r.answers(texts, "p").collect()
+    assert len(out) == 3 and len({x.cache_key for x in out}) == 2 and len(asked()) == 2
+    assert r.answers(texts, "p").count() == 3 and len(asked()) == 2  # the budget is spent but nothing is asked
+    assert cache.get(out[0].cache_key)["class"] in ("NOISE", "SIGNAL")
+    cache.add(cache.read().withColumn("response_json", F.lit("[1]")))
+    assert cache.get(out[0].cache_key) is None and cache.read().count() == 2
+    tries = []
+
+    def weak(texts):
+        tries.append(1)
+        if len(tries) < 3:
+            raise OSError
+        return [{} for _ in texts]
+
+    assert resolver.patient(weak, 3, 0.0)(["a"]) == [{}] and len(tries) == 3
+    tries.clear()
+    with pytest.raises(OSError):
+        resolver.patient(weak, 2, 0.0)(["a"])
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -156,6 +219,13 @@ def test_command_line_and_report(spark, csv_dir, tmp_path):
     assert run("fetch-bars", str(p)).startswith("2 bars")
     assert {r.final_state: r.n for r in run("actual", "--hold", "2").collect()} == {"WIN": 1}
     assert {r.category: r.n for r in run("compare", "--csv", str(tmp_path / "d")).collect()} == {"REPORTED_NO_REPORT_ACTUAL_WIN": 1}
+    assert run("fetch-bars", str(p)).startswith("2 bars")  # again: nothing is doubled
+    assert run("init-db") == "schema steps taken: none" and run("cost").first()[0] == 0.0
+    assert {r["class"]: r.n for r in run("classify", "--new").collect()} == {"SIGNAL": 1, "FOLLOW_UP": 1}
+    board = open(run("dashboard", str(tmp_path / "board.html"), "--min-signals", "1")).read()
+    assert "REPORTED_NO_REPORT_ACTUAL_WIN" in board and "type=range" in board
+    (drill,) = (tmp_path / "board.signals").iterdir()
+    assert drill.name in board and '"signal_id": "a b:1"' in drill.read_text()
     assert run("metrics").first().actual_win_rate == 1.0 and run("tp-depth").count() == 1 and run("leaderboard").count() == 1
     assert run("required-range").count() == 1 and run("gaps").count() > 0 and run("review", str(tmp_path / "r")).count() == 0
     page = open(run("html", str(tmp_path / "page.html"))).read()
@@ -165,13 +235,106 @@ def test_command_line_and_report(spark, csv_dir, tmp_path):
     report.write_csv(spark.createDataFrame([([1, 2],)], "a array<int>"), str(tmp_path / "arr"))
 
 
-def test_all_gaps_are_fetched(spark):
-    gaps = spark.range(10_003).selectExpr("concat('I', id % 7) AS instrument", "timestamp_ntz '2020-01-01' + make_dt_interval(cast(id AS int)) AS slice_start", "timestamp_ntz '2020-01-02' AS slice_end")
-
-    def fetch(instrument, start, end):
-        if start.year == 2020 and start.month == 1 and start.day == 1:
-            raise OSError("none")
-        return start
-
-    found, errors = market.fetch_missing(gaps, fetch)
-    assert len(found) == 10_002 and len(set(found)) == 10_002 and len(errors) == 1
+def gaps(spark, n):
+    return spark.range(n).selectExpr(
+        "concat('I', id % 7) AS instrument", "timestamp_ntz '2020-01-01' + make_dt_interval(cast(id AS int)) AS slice_start", "timestamp_ntz '2020-01-01' + make_dt_interval(cast(id AS int), 3) AS slice_end"
+    )
+
+
+def rest(spark, folder, **kw):
+    def get(url, params):
+        import json
+        import uuid
+        from pathlib import Path
+
+        (Path(folder) / uuid.uuid4().hex).write_text(params["symbol"])
+        start = params["start_date"].replace("T", " ")
+        if start.startswith("2020-01-02"):
+            raise OSError("no line " + params["apikey"])
+        if start.startswith("2020-01-03"):
+            return 500, "oops"
+        if start.startswith("2020-01-04"):
+            return 200, '{"status": "error", "message": "quota"}'
+        bad = start.startswith("2020-01-05")
+        bar = lambda t: {"datetime": t, "open": "1", "high": "x" if bad else "2", "low": "0.5", "close": "1.5", "volume": ""}
+        return 200, json.dumps({"values": [bar(params["end_date"].replace("T", " ")), bar(start), 7]})
+
+    return bars.RestBars(spark, "http://bars.test/x", "secret", {"I0": "I/0"}, get=get, attempts=2, wait=0.0, **kw)
+
+
+def test_rest_bars(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    provider = rest(spark, str(tmp_path / "calls"))
+    found, errors = market.fetch_missing(gaps(spark, 40), provider, "1min")
+    got = {r.slice_start.day if r.slice_start.month == 1 else 0: r.error for r in errors.collect()}
+    assert set(got) == {2, 3, 4, 5}
+    assert got[2].startswith("OSError: no line ***") and "500" in got[3] and "quota" in got[4] and "malformed bar" in got[5]
+    rows = found.collect()
+    assert len(rows) == 36 and {r.provider for r in rows} == {"rest"} and all(r.ts.hour == 0 and r.volume is None for r in rows)
+    assert {r.instrument for r in rows} == {f"I{i}" for i in range(7)}
+    calls = [p.read_text() for p in (tmp_path / "calls").iterdir()]
+    assert len(calls) == 41 and "I/0" in calls  # each once, the failing connection twice
+    with pytest.raises(bars.ProviderError, match="quota"):
+        provider.fetch("I1", "1min", "2020-01-04T00:00:00Z", "2020-01-04T01:00:00Z")
+    assert provider.fetch("I1", "1hour", "2020-02-01T00:00:00Z", "2020-02-03T00:00:00Z").count() == 3  # chunks of 1000 minutes
+    with pytest.raises(bars.ProviderError):
+        bars.RestBars(spark, "u", "")
+
+
+def test_all_gaps_are_fetched_at_once(spark, tmp_path):
+    p = tmp_path / "b.csv"
+    p.write_text("timestamp_utc,open,high,low,close,volume\n" + "".join(f"2020-01-{d:02d}T0{k}:00:00,1,2,0,1,\n" for d in range(1, 29) for k in range(5)))
+    found, errors = market.fetch_missing(gaps(spark, 10_003), bars.CsvBars(spark, str(p)), "1min")
+    assert found.count() == 28 * 3 and errors.count() == 0
+    p.write_text("timestamp_utc,open,high,low,close,volume\n2020-01-01T00:00:00Z,x,1,1,1,1\n")
+    found, errors = market.fetch_missing(gaps(spark, 10_003), bars.CsvBars(spark, str(p)), "1min")
+    assert found.count() == 0 and errors.count() == 10_003
+
+
+def test_versions_upserts_and_schema_steps(spark, tmp_path):
+    t = store.Store(spark, str(tmp_path / "d"))
+    assert t.migrate() == [1, 2] and t.migrate() == []
+    assert t["signals"].count() == 0 and t["schema_versions"].count() == 2
+    c = spark.createDataFrame([("g:1", "SIGNAL", 0.9), ("g:2", "NOISE", 0.8)], "message_uid string, class string, confidence double")
+    assert t.upsert("classifications", c) == 2
+    later = spark.createDataFrame([("g:2", "FOLLOW_UP", 0.7), ("g:3", "NOISE", 1.0)], "message_uid string, class string, confidence double")
+    assert t.upsert("classifications", later) == 3
+    assert {r.message_uid: r["class"] for r in t["classifications"].collect()} == {"g:1": "SIGNAL", "g:2": "FOLLOW_UP", "g:3": "NOISE"}
+    assert t["classifications"].first().reasons == []
+    before = t.path("classifications")
+    broken = later.withColumn("class", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        t.replace("classifications", broken)
+    assert t.path("classifications") == before and t["classifications"].count() == 3
+    assert t.upsert("classifications", later) == 3 and t.path("classifications") > before
+    with pytest.raises(Exception, match="cannot be HIT"):
+        schemas.decoded(later.withColumn("class", F.lit("HIT")), "classifications").collect()
+    spark.createDataFrame([("g:1", 1)], "message_uid string, old int").write.parquet(str(tmp_path / "d/links/v000009"))
+    assert [x for x in t["links"].columns] == [x for x, _ in schemas.columns("links")]
+    with pytest.raises(KeyError):
+        t["nothing"]
+
+
+def test_messages_from_a_chat_service(spark, tmp_path):
+    import json
+
+    def obj(i, minutes, text, **kw):
+        return json.dumps({"id": i, "date": h.at(minutes).isoformat() + "+00:00", "message": text, "sender_id": 77, **kw})
+
+    asked = []
+
+    def pages(group):
+        for page in (
+            [obj(5, 50, " five ", replies={"replies": 4}), obj(4, 40, None, replies=None)],
+            [obj(3, 30, "three", replies={}, reply_to_msg_id=1), '{"id": null}'],
+            [obj(2, 5, "two")],
+            [obj(1, 1, "one")],
+        ):
+            asked.append(group)
+            yield page
+
+    api = chat.ChatApi(spark, str.lower, pages)
+    got = api.fetch("g", str(tmp_path), "2026-01-17T10:10:00Z", "2026-01-17T10:45:00Z").collect()
+    assert [(r.message_uid, r.text, r.reply_count, r.reply_to_msg_id, r.sender_id) for r in got] == [("g:3", "three", None, 1, "77"), ("g:4", "", None, None, "77")]
+    assert len(asked) == 3  # the page that begins too early is the last
+    assert [r.reply_count for r in api.fetch("g", str(tmp_path)).orderBy("message_id").collect()] == [None, None, None, None, 4]
