@@ -154,6 +154,13 @@ b AS (
   FROM e GROUP BY 1
 )"""
 
+RAW = """
+raw AS (
+  SELECT if(event_type = 'view', 'file' || user_id % 3, 'g' || user_id % 12) AS grp, event_id AS i, date_trunc('second', ts) - INTERVAL 2 HOUR AS ts, user_id AS u,
+    if(event_type = 'view', NULL, CAST(user_id AS VARCHAR)) AS sender, if(event_type = 'click', '', event_type) AS txt, 'file' || user_id % 3 AS file, event_type NOT IN ('signup', 'error') AS ok
+  FROM events
+)"""
+
 
 def actual(hold_hours: int, fixed_pips: float | None) -> str:
     """The first-touch walk as a plain range join of signals and bars."""
@@ -300,9 +307,27 @@ sl AS (
 q AS (SELECT x, y, greatest(1, CAST(floor((epoch_us(y) - epoch_us(x)) / 60000000.0) AS BIGINT)) AS want, (SELECT count(*) FROM b WHERE b.ts >= x AND b.ts < y) AS n FROM sl)
 SELECT 'XAUUSD' AS instrument, x AS slice_start, y AS slice_end, n AS n_bars, want AS expected_bars, greatest(1, CAST(floor(want * 0.5) AS BIGINT)) AS threshold
 FROM q WHERE n < greatest(1, CAST(floor(want * 0.5) AS BIGINT))""",
-    "insert_or_ignore": _with(E, M) + "SELECT uid AS message_uid FROM m WHERE i % 2 = 0 AND i % 3 = 0",
+    "insert_or_ignore": _with(E, M) + "SELECT uid AS message_uid FROM m WHERE reply IS NOT NULL",
+    "upsert_keeping": _with(E, M, C)
+    + "SELECT uid AS message_uid, if(class = 'UNCERTAIN', 'NOISE', class) AS class, if(class = 'UNCERTAIN', 1.0::DOUBLE, round_even(conf, 6)) AS confidence, why AS reasons FROM c",
+    "links_of_group": _with(E, M, S, F, L) + "SELECT fid || '->' || l.sid AS link_id, method AS link_method FROM l JOIN s ON s.sid = l.sid WHERE s.grp = 'g3'",
+    "outcome_lookup": _with(E, M, S, F, L, R) + "SELECT sid AS signal_id, state AS final_state, n AS source_follow_up_count FROM r WHERE sid = (SELECT min(sid) FROM s)",
+    "backfilled_messages": _with(RAW)
+    + "SELECT grp || ':' || i AS message_uid, grp AS group_id, i AS message_id, ts, sender AS sender_id, txt AS text, u AS reply_to_msg_id, CAST(-3 AS BIGINT) AS views, "
+    "CAST(NULL AS BIGINT) AS forwards, CAST(NULL AS BIGINT) AS reply_count FROM raw WHERE ok",
+    "backfill_stats": _with(RAW) + "SELECT file, count(*) AS read, count(*) FILTER (NOT ok) AS skipped, count(*) FILTER (ok) AS inserted FROM raw GROUP BY file",
+    "chat_api_messages": "SELECT 'c:' || event_id AS message_uid, event_id AS message_id, date_trunc('second', ts) AS ts, CAST(user_id AS VARCHAR) AS sender_id, event_type AS text, "
+    "if(event_type IN ('view', 'click'), NULL, user_id) AS reply_count FROM events",
+    "manifest_targets": """
+WITH x AS (
+  SELECT event_id AS line_no, CASE event_type WHEN 'purchase' THEN 'Room ' || user_id WHEN 'click' THEN 'Hall ' || user_id ELSE '@rOOm' || user_id END AS label,
+    CASE event_type WHEN 'purchase' THEN 'Room' || user_id WHEN 'click' THEN CAST(user_id AS VARCHAR) ELSE 'rOOm' || user_id END AS target
+  FROM events WHERE event_type IN ('purchase', 'click', 'view')
+)
+SELECT line_no, label, target FROM x QUALIFY row_number() OVER (PARTITION BY lower(target) ORDER BY line_no) = 1""",
     "insert_or_replace": _with(E, B) + "SELECT ts, close + if(minute(ts) % 2 = 0, 1.0, 0.0)::DOUBLE AS close FROM b",
     "scalar_functions": _with(E)
     + "SELECT i AS event_id, round_even(if(i % 2 = 0, 1950.0::DOUBLE - p, p - 1950.0::DOUBLE) / 0.1::DOUBLE, 2) AS pips, i AS message_number, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso, "
-    "'m:v1:' || left(sha256('a ' || kind || ' b'), 24) AS cache_key, if(length(kind) > 5, left(kind, 4) || '…', kind) AS label FROM e",
+    "'m:v1:' || left(sha256('a ' || kind || ' b'), 24) AS cache_key, if(length(kind) > 5, left(kind, 4) || '…', kind) AS label, "
+    "kind || ':' || i AS uid, strftime(ts + INTERVAL 210 MINUTE, '%Y-%m-%dT%H:%M:%SZ') AS utc, CAST(if(i % 2 = 0, 2, 0) AS INTEGER) AS numbers FROM e",
 }

@@ -12,7 +12,7 @@ from claimcheck.config import Settings
 from claimcheck.functions import scalars as S
 from claimcheck.operators import analytics, classify, compare, link, market
 from claimcheck.plans.stages import Pipeline
-from claimcheck.sources import store
+from claimcheck.sources import chat, groups, store
 
 CFG = Settings()
 FIXED = replace(CFG, default_sl_policy="FIXED_PIPS", max_holding_hours=6.0)
@@ -153,10 +153,77 @@ def market_gaps(spark, sf_dir):
 
 
 def insert_or_ignore(spark, sf_dir):
-    """Ids of messages that a second delivery adds to a first: the first of each key stays."""
+    """Ids of messages that a delivery of all adds to one without replies: the first of each key stays."""
     m = _p(spark, sf_dir).messages
-    first, second = m.where("message_id % 3 <> 0"), m.where("message_id % 2 = 0")
-    return store.new_rows(first, second, "messages", ["ts", "message_uid"]).select("message_uid")
+    return store.new_rows(m.where("reply_to_msg_id is null"), m, "messages", ["ts", "message_uid"]).select("message_uid")
+
+
+def upsert_keeping(spark, sf_dir):
+    """Classes after an update that settles all unsure ones and leaves the reasons alone."""
+    c = _p(spark, sf_dir).classes.select("message_uid", "class", "confidence", "reasons")
+    later = c.where("class = 'UNCERTAIN'").withColumns({"class": F.lit("NOISE"), "confidence": F.lit(1.0), "reasons": F.array(F.lit("by_hand"))})
+    return store.merged(c, later, "classifications", keep=["reasons"]).select("message_uid", "class", F.bround("confidence", 6).alias("confidence"), F.array_join("reasons", "|").alias("reasons"))
+
+
+def links_of_group(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return link.of_group(p.links, p.signals, "g3").select("link_id", "link_method")
+
+
+def outcome_lookup(spark, sf_dir):
+    """The reported outcome of the first signal."""
+    p = _p(spark, sf_dir)
+    first = p.signals.agg(F.min("signal_id")).scalar()
+    return p.reported.where(F.col("signal_id") == first).select("signal_id", "final_state", "source_follow_up_count")
+
+
+def _deliveries(spark, sf_dir) -> DataFrame:
+    """Events as raw rows of CSV files: numbers as floating text, sign-ups without a usable number, errors without a time."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    kind = F.col("event_type")
+    return e.select(
+        F.when(kind == "view", " ").otherwise(F.concat(F.lit(" g"), (F.col("user_id") % 12).cast("string"))).alias("group"),
+        F.when(kind == "signup", "n/a").otherwise(F.concat(F.col("event_id").cast("string"), F.lit(".0"))).alias("message_id"),
+        F.when(kind == "error", "").otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))).alias("timestamp_utc"),
+        F.when(kind == "view", "").otherwise(F.col("user_id").cast("string")).alias("sender_id"),
+        F.when(kind != "click", kind).alias("text"),
+        F.concat(F.col("user_id").cast("string"), F.lit(".75")).alias("reply_to_msg_id"),
+        F.lit("-3.5").alias("views"), F.lit("many").alias("forwards"), F.lit(None).cast("string").alias("reply_count"),
+        F.concat(F.lit("file"), (F.col("user_id") % 3).cast("string")).alias("stem"),
+    )
+
+
+def backfilled_messages(spark, sf_dir):
+    """Typed messages of raw rows; unusable ones are dropped."""
+    new, _ = chat.backfill(_deliveries(spark, sf_dir))
+    return new.select("message_uid", "group_id", "message_id", "ts", "sender_id", "text", "reply_to_msg_id", "views", "forwards", "reply_count")
+
+
+def backfill_stats(spark, sf_dir):
+    """Rows read, skipped and inserted of each file."""
+    return chat.backfill(_deliveries(spark, sf_dir))[1]
+
+
+def chat_api_messages(spark, sf_dir):
+    """Messages of a chat service's JSON objects, with the nested count of replies."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    kind = F.col("event_type")
+    replies = F.when(kind != "view", F.struct(F.when(kind != "click", F.col("user_id")).alias("replies")))
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    obj = F.struct(F.col("event_id").alias("id"), stamp.alias("date"), F.concat(F.lit(" "), kind, F.lit("\n")).alias("message"), F.col("user_id").alias("sender_id"), replies.alias("replies"))
+    return chat.from_api(e.select(F.to_json(obj).alias("json")), "c").select("message_uid", "message_id", "ts", "sender_id", "text", "reply_count")
+
+
+def manifest_targets(spark, sf_dir):
+    """Targets and labels of a manifest with a line for each event."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    user, kind = F.col("user_id").cast("string"), F.col("event_type")
+    line = (
+        F.when(kind == "purchase", F.concat(F.lit("Room "), user, F.lit(" | id: -100"), user, F.lit(" | username: @Room"), user))
+        .when(kind == "click", F.concat(F.lit("Hall "), user, F.lit(" | ID: "), user, F.lit(" | username: none")))
+        .when(kind == "view", F.concat(F.lit("@rOOm"), user)).when(kind == "signup", F.concat(F.lit("# "), user)).otherwise(" ")
+    )
+    return groups.parse(e.select(F.col("event_id").alias("line_no"), line.alias("line"))).select("line_no", "label", "target")
 
 
 def insert_or_replace(spark, sf_dir):
@@ -178,6 +245,9 @@ def scalar_functions(spark, sf_dir):
         S.iso(F.col("ts")).alias("iso"),
         S.cache_key("m", "v1", F.concat(F.lit("  A  "), F.col("event_type"), F.lit("\nB "))).alias("cache_key"),
         S.label(F.col("event_type"), F.lit(None).cast("string"), 5).alias("label"),
+        S.uid("event_type", F.col("event_id").cast("string")).alias("uid"),
+        S.iso(S.utc(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-03:30")))).alias("utc"),
+        F.size(S.number_list(F.when(side == "BUY", F.concat(F.lit("[1, "), F.col("event_id").cast("string"), F.lit(".5]"))).otherwise("[1, "))).alias("numbers"),
     )
 
 
@@ -188,6 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         link_reply_to, link_interval_candidates, links, contested_links, link_method_stats, low_confidence_links, reported_outcomes,
         actual_outcomes, actual_outcomes_fixed_sl, actual_state_counts, discrepancies, discrepancy_counts, group_metrics, group_metrics_window,
         tp_depth_levels, tp_depth_summary, tp_depth_wide, tp_depth_long, leaderboard, required_bar_range, market_gaps, insert_or_ignore,
-        insert_or_replace, scalar_functions,
+        insert_or_replace, upsert_keeping, links_of_group, outcome_lookup, backfilled_messages, backfill_stats, chat_api_messages, manifest_targets,
+        scalar_functions,
     )
 }
