@@ -11,6 +11,8 @@ not fill it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,14 +114,15 @@ def first_touch(levels: DataFrame, bars: DataFrame, hours: DataFrame) -> DataFra
     )
 
 
-def actual_outcomes(signals: DataFrame, bars: DataFrame, cfg: Settings) -> DataFrame:
+def actual_outcomes(signals: DataFrame, bars: DataFrame, cfg: Settings, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """One row a signal: WIN, LOSS, AMBIGUOUS, OPEN_AT_EXPIRY or INSUFFICIENT_DATA.
 
     The first bar with a touch decides: stop and targets, AMBIGUOUS at the mean
     of what it touches; the stop alone, LOSS; targets alone, WIN at the first
-    of them in the signal's order.
+    of them in the signal's order.  ``keep`` is done to the numbered bars and
+    their hours, which are read several times.
     """
-    numbered, hours = numbered_bars(bars)
+    numbered, hours = map(keep, numbered_bars(bars))
     t = first_touch(_levels(signals, cfg), numbered, hours)
     at = lambda seq, *cols: numbered.select("instrument", F.col("seq").alias(seq), *cols)
     t = t.join(at("touch_seq", F.col("ts").alias("touch_ts"), F.col("low").alias("t_low"), F.col("high").alias("t_high")), ["instrument", "touch_seq"], "left")

@@ -65,19 +65,27 @@ def _total(rows) -> Column:
     return F.greatest(F.lit(0.0), score)
 
 
+COLUMNS = ["class", "confidence", "method", "reasons", "classifier_version"]
+
+
 def classify(messages: DataFrame, cfg: Settings) -> DataFrame:
-    """message_uid, class, confidence, method, reasons, classifier_version.
+    """message_uid, class, confidence, method, reasons, classifier_version."""
+    return with_class(messages.select("message_uid", "text", "reply_to_msg_id"), cfg).select("message_uid", *COLUMNS)
+
+
+def with_class(messages: DataFrame, cfg: Settings) -> DataFrame:
+    """``messages`` with the columns of their class, without a join.
 
     The class of the highest score wins, ties in ORDER; confidence is a half
     plus half the lead.  No score, or a confidence below the threshold, leaves
     the message UNCERTAIN; an empty text is NOISE.
     """
     body = T.strip(T.tidy(F.col("text")))
-    base = messages.select("message_uid", body.alias("body"), F.col("reply_to_msg_id").isNotNull().alias("is_reply"))
+    base = messages.withColumns({"body": body, "is_reply": F.col("reply_to_msg_id").isNotNull()})
     rows = evidence(F.col("body"), F.col("is_reply"), cfg)
     # one projection for the evidence, so that each pattern runs once
     named = base.select(
-        "message_uid",
+        *messages.columns,
         "body",
         *[_total(rows[c]).alias(f"s_{c}") for c in ORDER],
         *[T.reasons(*[(cond, why) for why, _, cond in rows[c]]).alias(f"r_{c}") for c in ORDER],
@@ -92,7 +100,7 @@ def classify(messages: DataFrame, cfg: Settings) -> DataFrame:
     scores = F.array(*[F.format_string(f"score_{c.lower()}=%.2f", s[c]) for c in ORDER])
     empty, none, weak = F.col("body") == "", top <= 0, sure < F.lit(cfg.classify_threshold)
     return named.select(
-        "message_uid",
+        *messages.columns,
         F.when(empty, "NOISE").when(none | weak, "UNCERTAIN").otherwise(winner).alias("class"),
         F.when(empty, 1.0).when(none, 0.0).otherwise(sure).alias("confidence"),
         F.lit("rules").alias("method"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
+import weakref
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -18,8 +21,30 @@ CFG = Settings()
 FIXED = replace(CFG, default_sl_policy="FIXED_PIPS", max_holding_hours=6.0)
 
 
+_open: list[Pipeline] = []
+
+
 def _p(spark: SparkSession, sf_dir: str, cfg: Settings = CFG) -> Pipeline:
-    return Pipeline.demo(spark, sf_dir, cfg)
+    _open.append(Pipeline.demo(spark, sf_dir, cfg))
+    return _open[-1]
+
+
+def _close(p: Pipeline) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone
+        p.close()
+
+
+def _query(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, whose persisted tables are given up with its result."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = f(spark, sf_dir)
+        while _open:
+            weakref.finalize(df, _close, _open.pop()).atexit = False
+        return df
+
+    return run
 
 
 def _prices(col: str) -> Column:
@@ -252,7 +277,7 @@ def scalar_functions(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: _query(f)
     for f in (
         classify_messages, class_counts, unclassified_messages, parse_signals, quality_counts, parse_follow_ups, event_type_counts,
         link_reply_to, link_interval_candidates, links, contested_links, link_method_stats, low_confidence_links, reported_outcomes,

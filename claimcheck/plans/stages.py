@@ -17,35 +17,60 @@ class Pipeline:
     """Lazily planned stages over a messages and a bars table.
 
     ``keep``: what is done to a table that several later stages read; by
-    default it is persisted in memory and on disk, ``store.write`` and ``read``
-    make it a stored table instead.
+    default it is persisted in memory and on disk until ``close``,
+    ``store.Store.replace`` and reading back make it a stored table instead.
 
     ``resolvers``: optional functions by stage ("classify", "signals",
     "follow_ups", "tiebreak"), see ``claimcheck.resolver``.
     """
 
     def __init__(self, messages: DataFrame, bars: DataFrame | None = None, cfg: Settings | None = None, resolvers: dict | None = None, keep=None):
-        self.keep = keep or (lambda df: df.persist(StorageLevel.MEMORY_AND_DISK))
-        self.messages, self.bars, self.cfg, self.resolvers = messages, bars, cfg or Settings(), resolvers or {}
+        self._kept: list[DataFrame] = []
+        self.keep = keep or self._persist
+        self._messages, self.bars, self.cfg, self.resolvers = messages, bars, cfg or Settings(), resolvers or {}
+
+    def _persist(self, df: DataFrame) -> DataFrame:
+        self._kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    def close(self) -> None:
+        """Gives up what is persisted; results stay right, but are computed anew."""
+        while self._kept:
+            self._kept.pop().unpersist()
 
     @classmethod
     def demo(cls, spark: SparkSession, sf_dir: str, cfg: Settings | None = None) -> Pipeline:
         return cls(demo.messages(spark, sf_dir), demo.bars(spark, sf_dir), cfg)
 
     @cached_property
+    def classified(self) -> DataFrame:
+        """Messages with their class: rules need no join, judges' answers one."""
+        rules = classify.with_class(self._messages, self.cfg)
+        if "classify" not in self.resolvers:
+            return self.keep(rules)
+        classes = self.resolvers["classify"](self._messages, rules.select("message_uid", *classify.COLUMNS), self.cfg)
+        return self.keep(self._messages.join(classes, "message_uid"))
+
+    @property
+    def messages(self) -> DataFrame:
+        return self.classified.select(self._messages.columns)
+
+    @property
     def classes(self) -> DataFrame:
-        rules = classify.classify(self.messages, self.cfg)
-        return self.keep(self.resolvers["classify"](self.messages, rules, self.cfg) if "classify" in self.resolvers else rules)
+        return self.classified.select("message_uid", *classify.COLUMNS)
+
+    def of_class(self, name: str) -> DataFrame:
+        return self.classified.where(F.col("class") == name).select(self._messages.columns)
 
     @cached_property
     def signals(self) -> DataFrame:
-        told = classify.of_class(self.messages, self.classes, "SIGNAL")
+        told = self.of_class("SIGNAL")
         rules = parse_signals.parse_signals(told, self.cfg)
         return self.keep(self.resolvers["signals"](told, rules, self.cfg) if "signals" in self.resolvers else rules)
 
     @cached_property
     def follow_ups(self) -> DataFrame:
-        told = classify.of_class(self.messages, self.classes, "FOLLOW_UP")
+        told = self.of_class("FOLLOW_UP")
         rules = parse_follow_ups.parse_follow_ups(told, self.cfg)
         return self.keep(self.resolvers["follow_ups"](told, rules, self.cfg) if "follow_ups" in self.resolvers else rules)
 
@@ -63,7 +88,7 @@ class Pipeline:
 
     @cached_property
     def actual(self) -> DataFrame:
-        return self.keep(actual.actual_outcomes(self.signals, self.bars, self.cfg))
+        return self.keep(actual.actual_outcomes(self.signals, self.bars, self.cfg, self.keep))
 
     @cached_property
     def discrepancies(self) -> DataFrame:
@@ -71,5 +96,5 @@ class Pipeline:
 
     def rejected_signals(self) -> DataFrame:
         """Messages of class SIGNAL that do not parse, with the reason."""
-        told = classify.of_class(self.messages, self.classes, "SIGNAL")
+        told = self.of_class("SIGNAL")
         return parse_signals.parse_text(told, self.cfg).where(F.col("reject").isNotNull()).select("message_uid", "reject")
