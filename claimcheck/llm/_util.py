@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import io
 import os
 import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +81,25 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
 
 
+def give_back() -> None:
+    """Gives what this Python worker has freed back to the system, as it will run other stages' tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def giving_back(run: Callable) -> Callable:
+    """A function for mapInArrow that gives freed memory back when its partition ends."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable from each node of an edge.
 

@@ -44,7 +44,7 @@ def _power(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.cumprod(have, dtype=np.uint64)
-        if size <= 1 << 24:
+        if size <= 1 << 21:  # what slices need
             _powers[base] = have
     return have[:n]
 

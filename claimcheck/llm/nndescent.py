@@ -37,10 +37,16 @@ BLOCK = 200  # nodes of a first block, about
 SEEDS = 3  # first blockings
 ROUNDS = 5
 BEAM, EXPAND, RERANK = 256, 64, 128
+WIDER = 50_000  # nodes beyond which the beam widens with their logarithm
 ENTRIES = 16  # nodes where every query starts beside its own
 NARROW_ROWS = 20_000  # narrow rows in one Arrow batch
 
 
+def beam_for(n: int) -> int:
+    """The beam's width: BEAM, and as much again for each doubling of the nodes beyond WIDER."""
+    return int(BEAM * (1 + max(0.0, np.log2(max(1, n) / WIDER))))
+
+
 @contextmanager
 def _narrow(spark: SparkSession):
     """Larger Arrow batches for narrow rows that are computed within."""
@@ -238,8 +244,8 @@ class Index:
         self.spark, self.dim = spark, lengths[0].dim if lengths else 0
         rows = rows.where(F.size("vec") == self.dim).withColumn("h", F.xxhash64(F.transform("vec", lambda x: x + 0.0)))
         self.rows = cut(rows)
-        classes = self.rows.groupBy("h", "vec").agg(F.min("id").alias("rep"))
-        self.exact = cut(classes)
+        classes = self.rows.select("h", "vec").distinct()
+        self.exact = cut(classes.withColumn("rep", F.monotonically_increasing_id()))  # which also fixes the numbers
         w = Window.partitionBy("rep").orderBy("id")
         member = self.rows.join(self.exact, ["h", "vec"]).select("rep", "id")
         self.members = member.withColumn("r", F.row_number().over(w)).where(F.col("r") <= copies).select("rep", "id")
@@ -250,7 +256,7 @@ class Index:
 
         with _narrow(spark):
             self.nodes = cut(self.exact.select("rep", "vec").mapInArrow(small, "rep long, vq binary"))
-            n = self.nodes.count()
+            n = self.size = self.nodes.count()
             lists = cut(_merge(None, _first_edges(self.nodes, n, k, BLOCK, SEEDS), k))
             for _ in range(rounds if n > k + 1 else 0):
                 lists = cut(_merge(lists, _round(lists, self.nodes, k), k))
@@ -263,9 +269,9 @@ class Index:
             empty = F.array().cast("array<long>")
             self.graph = cut(both.select(F.col("v").alias("node"), F.array_union(F.coalesce("ids", empty), F.coalesce("more", empty)).alias("near")))
 
-    def search(self, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", top: int = 10, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
+    def search(self, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", top: int = 10, beam: int | None = None, expand: int = EXPAND) -> DataFrame:
         """(query_id, rank, vec_id, score): the nearest found of each usable query, its own id left out."""
-        spark = self.spark
+        spark, beam = self.spark, beam or beam_for(self.size)
         q = queries.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("q"), as_double(queries, vec_col).alias("vec"))
         q = q.where(usable(F.col("vec")) & (F.size("vec") == self.dim)).groupBy("q").agg(F.min("vec").alias("vec"))
         q = q.withColumn("h", F.xxhash64(F.transform("vec", lambda x: x + 0.0)))
@@ -354,7 +360,7 @@ def nearest(
     top: int = 10,
     k: int = K,
     rounds: int = ROUNDS,
-    beam: int = BEAM,
+    beam: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``top`` nearest found among ``vectors``, by Euclidean distance.
 
@@ -364,8 +370,8 @@ def nearest(
     Defined cases: vectors that are null, empty, zero or hold null or
     non-finite components take no part, nor do those of another length than the
     most frequent; null ids take no part; of rows with one id and several
-    vectors a query takes the smallest; exact copies are one node and come back
-    as rows, smallest ids first; other columns are ignored; empty tables give
+    vectors a query takes the smallest, while all are searched; exact copies
+    are one node and come back as rows, smallest ids first; other columns are ignored; empty tables give
     no rows.
     """
     return Index(vectors, id_col, vec_col, k, rounds, top + 1).search(queries, id_col, vec_col, top, beam)

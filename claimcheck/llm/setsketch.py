@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimcheck.llm import _words
-from claimcheck.llm._util import broadcast_if, components, cut, prepare, spread
+from claimcheck.llm._util import broadcast_if, components, cut, giving_back, prepare, spread
 
 M = 256  # registers, a power of two
 B = 1.1  # base of the register scale
@@ -147,7 +147,7 @@ def features(texts: DataFrame, k: int) -> DataFrame:
                     names=["id", "th", "n_shingles", "fp1", "fp2", "sketch"],
                 )
 
-    return texts.mapInArrow(run, _FEATURES)
+    return texts.mapInArrow(giving_back(run), _FEATURES)
 
 
 # ---------------------------------------------------------------- pairs
@@ -216,7 +216,7 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, per_t
     return (
         spread(_fetched(texts, wanted).select("a", "shard", "b", "text"), "a", "shard")
         .sortWithinPartitions("a", "shard", F.col("b").asc_nulls_first())
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(giving_back(run), "a long, b long")
     )
 
 
@@ -310,7 +310,7 @@ def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: Dat
     wanted = cut(
         spread(sketched, "grp", "bx", "by")
         .sortWithinPartitions("grp", "bx", "by")
-        .mapInArrow(search, _APART.replace("y int,", "y int, right boolean,"))
+        .mapInArrow(giving_back(search), _APART.replace("y int,", "y int, right boolean,"))
     )
 
     def compare(rows):
@@ -354,7 +354,7 @@ def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: Dat
     return (
         spread(_fetched(texts, wanted), "grp", "x", "y")
         .sortWithinPartitions("grp", "x", "y")
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(giving_back(run), "a long, b long")
     )
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimcheck.llm._util import prepare
+from claimcheck.llm._util import giving_back, prepare
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -341,7 +341,7 @@ def _added(df: DataFrame, source: str, added: list[tuple[str, T.DataType]], work
             for t in _bounded(whole, source):
                 yield pa.RecordBatch.from_arrays([*(t.column(c) for c in names), *work(t)], names=[*names, *fresh])
 
-    return df.select([F.col(f"`{c}`") for c in df.columns]).mapInArrow(run, T.StructType([*fields, *(T.StructField(n, k) for n, k in added)]))
+    return df.select([F.col(f"`{c}`") for c in df.columns]).mapInArrow(giving_back(run), T.StructType([*fields, *(T.StructField(n, k) for n, k in added)]))
 
 
 def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model: str = MODEL, check_col: str | None = None) -> DataFrame:

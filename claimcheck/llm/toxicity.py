@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimcheck.llm import _words
-from claimcheck.llm._util import prepare
+from claimcheck.llm._util import giving_back, prepare
 
 BUCKETS = 1 << 22
 SAMPLE_DOCS = 800  # toxic documents that the fit takes at most, and clean ones for the field
@@ -217,8 +217,8 @@ def _toxic_features(texts: list[str], toxic: np.ndarray) -> np.ndarray:
         for f in feats:
             seen = np.unique(doc * BUCKETS + f)
             d, b = seen // BUCKETS + first, seen % BUCKETS
-            t += np.bincount(b[toxic[d]], minlength=BUCKETS).astype(np.int32)
-            c += np.bincount(b[~toxic[d]], minlength=BUCKETS).astype(np.int32)
+            np.add.at(t, b[toxic[d]], 1)
+            np.add.at(c, b[~toxic[d]], 1)
     base = toxic.mean()
     features = np.count_nonzero(t) + np.count_nonzero(c[t == 0])
     at = np.flatnonzero(t >= SEEN_DOCS)
@@ -349,7 +349,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     names=["id", "score", "predicted", "spans"],
                 )
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, {SCORED}")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(giving_back(run), f"id {kind}, {SCORED}")
 
 
 def _scored(column, model: Model, weights: np.ndarray):
@@ -383,7 +383,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
                 keep[first : first + n] = s < 0.5
             yield t.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)
 
 
 def _points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -452,5 +452,5 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         yield pa.RecordBatch.from_pydict({"model": [fit(*without_copies(texts, ys), sample_docs).to_bytes()]})
 
     rows = sample(docs, labels, id_col, text_col, label_col, sample_docs)
-    one = rows.repartition(1).sortWithinPartitions("h", "text").select("text", "y").mapInArrow(run, "model binary").collect()
+    one = rows.repartition(1).sortWithinPartitions("h", "text").select("text", "y").mapInArrow(giving_back(run), "model binary").collect()
     return Model.from_bytes(one[0].model) if one else fit([], [])
