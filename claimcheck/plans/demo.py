@@ -55,11 +55,25 @@ def message_text() -> Column:
     )
 
 
+def _latest_purchase(e: DataFrame) -> DataFrame:
+    """``e`` with the id of its group's latest earlier purchase, null without one.
+
+    Days are looked through one by one and what the days before leave over is
+    carried on, so that no task needs all events of a group.
+    """
+    e = e.withColumn("day", F.to_date("ts"))
+    bought, order = F.col("event_type") == "purchase", F.struct("ts", "event_id")
+    days = e.groupBy("group_id", "day").agg(F.max_by(F.when(bought, F.col("event_id")), F.when(bought, order)).alias("last"))
+    before = Window.partitionBy("group_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("group_id", "day", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    earlier = Window.partitionBy("group_id", "day").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    e = e.withColumn("today", F.last(F.when(bought, F.col("event_id")), ignorenulls=True).over(earlier))
+    return e.join(days, ["group_id", "day"]).withColumn("latest", F.coalesce("today", "carried")).drop("today", "carried", "day")
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages table; every third message answers its group's latest earlier purchase."""
-    e = events(spark, sf_dir)
-    before = Window.partitionBy("group_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
-    latest = F.last(F.when(F.col("event_type") == "purchase", F.col("event_id")), ignorenulls=True).over(before)
+    e = _latest_purchase(events(spark, sf_dir))
     return e.select(
         F.concat_ws(":", "group_id", F.col("event_id").cast("string")).alias("message_uid"),
         "group_id",
@@ -67,7 +81,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.lit(None).cast("string").alias("sender_id"),
         message_text().alias("text"),
-        F.when(F.col("event_id") % 3 == 0, latest).alias("reply_to_msg_id"),
+        F.when(F.col("event_id") % 3 == 0, F.col("latest")).alias("reply_to_msg_id"),
         F.lit("demo").alias("ingest_method"),
     )
 
