@@ -20,6 +20,9 @@ from claimcheck.config import Settings
 from claimcheck.functions import scalars as S
 
 
+BROADCAST_HOURS = 500_000  # hours of all instruments, of some sixty bytes, that are broadcast at most
+
+
 def hour(ts: Column) -> Column:
     return F.date_trunc("hour", ts).cast("timestamp_ntz")
 
@@ -74,7 +77,7 @@ def _inner_hours(levels: DataFrame, hours: DataFrame) -> DataFrame:
     return spread.join(hours, ["instrument", "hr"])
 
 
-def first_touch(levels: DataFrame, bars: DataFrame, hours: DataFrame) -> DataFrame:
+def first_touch(levels: DataFrame, bars: DataFrame, hours: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Per signal: seq of the touch and of the first and last bar met, and whether a range entry fills.
 
     All aggregates are plain numbers and times, so they are hashed rather than
@@ -99,7 +102,7 @@ def first_touch(levels: DataFrame, bars: DataFrame, hours: DataFrame) -> DataFra
     per = seen.groupBy("signal_id").agg(
         F.min(F.when(hit, F.col("seq"))).alias("touch_seq"), F.min("seq").alias("f_first"), F.max("seq").alias("f_last"), F.max(fills).alias("filled")
     )
-    out = both.join(per, "signal_id", "left")
+    out = keep(both.join(per, "signal_id", "left"))
     # a range that its first overlapping hour does not fill is looked for in the others
     still = out.where(F.col("entry").isNull() & F.col("band_hr").isNotNull() & ~F.coalesce("filled", F.lit(False))).select(levels.columns)
     rest = _inner_hours(still, hours).where((F.col("lo") <= F.col("band_hi")) & (F.col("hi") >= F.col("band_lo"))).select("signal_id", "instrument", "hr", "band_lo", "band_hi")
@@ -115,15 +118,17 @@ def first_touch(levels: DataFrame, bars: DataFrame, hours: DataFrame) -> DataFra
 
 
 def actual_outcomes(signals: DataFrame, bars: DataFrame, cfg: Settings, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """One row a signal: WIN, LOSS, AMBIGUOUS, OPEN_AT_EXPIRY or INSUFFICIENT_DATA.
+    """One row a signal: WIN, LOSS, AMBIGUOUS, OPEN_AT_EXPIRY or INSUFFICIENT_DATA.  Counts the hours when it is called.
 
     The first bar with a touch decides: stop and targets, AMBIGUOUS at the mean
     of what it touches; the stop alone, LOSS; targets alone, WIN at the first
-    of them in the signal's order.  ``keep`` is done to the numbered bars and
-    their hours, which are read several times.
+    of them in the signal's order.  ``keep`` is done to the numbered bars, their
+    hours and the first touches, which are read several times.
     """
     numbered, hours = map(keep, numbered_bars(bars))
-    t = first_touch(_levels(signals, cfg), numbered, hours)
+    if hours.count() <= BROADCAST_HOURS:  # then the hours of every holding time meet them where they are made
+        hours = F.broadcast(hours)
+    t = first_touch(_levels(signals, cfg), numbered, hours, keep)
     at = lambda seq, *cols: numbered.select("instrument", F.col("seq").alias(seq), *cols)
     t = t.join(at("touch_seq", F.col("ts").alias("touch_ts"), F.col("low").alias("t_low"), F.col("high").alias("t_high")), ["instrument", "touch_seq"], "left")
     t = t.join(at("last_seq", F.col("ts").alias("last_ts"), F.col("close").alias("last_close")), ["instrument", "last_seq"], "left")

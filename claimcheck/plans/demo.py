@@ -61,7 +61,9 @@ def _latest_purchase(e: DataFrame) -> DataFrame:
     Days are looked through one by one and what the days before leave over is
     carried on, so that no task needs all events of a group.
     """
-    e = e.withColumn("day", F.to_date("ts"))
+    # dealt by number, which is not merged into few tasks: texts cost more than their bytes tell
+    n = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e = e.withColumn("day", F.to_date("ts")).repartition(n, "group_id", "day")
     bought, order = F.col("event_type") == "purchase", F.struct("ts", "event_id")
     days = e.groupBy("group_id", "day").agg(F.max_by(F.when(bought, F.col("event_id")), F.when(bought, order)).alias("last"))
     before = Window.partitionBy("group_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import functools
-import weakref
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -21,30 +19,20 @@ CFG = Settings()
 FIXED = replace(CFG, default_sl_policy="FIXED_PIPS", max_holding_hours=6.0)
 
 
-_open: list[Pipeline] = []
+_last: list[Pipeline] = []
 
 
 def _p(spark: SparkSession, sf_dir: str, cfg: Settings = CFG) -> Pipeline:
-    _open.append(Pipeline.demo(spark, sf_dir, cfg))
-    return _open[-1]
+    """The stages of one query; what the query before has persisted is given up first.
 
-
-def _close(p: Pipeline) -> None:
-    with contextlib.suppress(Exception):  # the session may be gone
-        p.close()
-
-
-def _query(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
-    """The query, whose persisted tables are given up with its result."""
-
-    @functools.wraps(f)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = f(spark, sf_dir)
-        while _open:
-            weakref.finalize(df, _close, _open.pop()).atexit = False
-        return df
-
-    return run
+    (Later would be too late: Spark knows persisted tables by their plans, which
+    queries share.)
+    """
+    while _last:
+        with contextlib.suppress(Exception):  # its session may be gone
+            _last.pop().close()
+    _last.append(Pipeline.demo(spark, sf_dir, cfg))
+    return _last[-1]
 
 
 def _prices(col: str) -> Column:
@@ -277,7 +265,7 @@ def scalar_functions(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _query(f)
+    f.__name__: f
     for f in (
         classify_messages, class_counts, unclassified_messages, parse_signals, quality_counts, parse_follow_ups, event_type_counts,
         link_reply_to, link_interval_candidates, links, contested_links, link_method_stats, low_confidence_links, reported_outcomes,
