@@ -94,8 +94,12 @@ def test_rows_that_share_ids(spark):
     assert got == sorted(want, key=str)
 
 
-def test_blocks_of_what_is_left_apart(spark, monkeypatch):
-    """Two groups whose members share bands but are mostly below the threshold, in small blocks."""
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_blocks_of_what_is_left_apart(spark, monkeypatch, broadcast):
+    """A group whose members share bands but are mostly below the threshold, in small blocks, also where nothing is small enough to broadcast."""
+    if not broadcast:
+        monkeypatch.setattr(setsketch, "BROADCAST_KEYS", -1)
+        monkeypatch.setattr(setsketch, "BROADCAST_GROUPS", -1)
     monkeypatch.setattr(setsketch, "BLOCK", 16)
     monkeypatch.setattr(setsketch, "COARSE", 3)
     rnd = random.Random(9)
