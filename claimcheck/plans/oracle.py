@@ -318,6 +318,10 @@ FROM q WHERE n < greatest(1, CAST(floor(want * 0.5) AS BIGINT))""",
     "backfill_stats": _with(RAW) + "SELECT file, count(*) AS read, count(*) FILTER (NOT ok) AS skipped, count(*) FILTER (ok) AS inserted FROM raw GROUP BY file",
     "chat_api_messages": "SELECT 'c:' || event_id AS message_uid, event_id AS message_id, date_trunc('second', ts) AS ts, CAST(user_id AS VARCHAR) AS sender_id, event_type AS text, "
     "if(event_type IN ('view', 'click'), NULL, user_id) AS reply_count FROM events",
+    "tagged_bars": "WITH e AS (SELECT event_id AS i, ts, 1900.0::DOUBLE + floor(least(value, 100.0::DOUBLE) * 4) / 4 AS p FROM events) "
+    "SELECT 'XAUUSD:1min:' || strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%SZ') || ':demo' AS bar_id, 'XAUUSD' AS instrument, '1min' AS interval, date_trunc('minute', ts) AS ts, "
+    "first(p ORDER BY ts, i) AS open, last(p ORDER BY ts, i) AS close, CAST(count(*) AS DOUBLE) AS volume, 'demo' AS provider FROM e GROUP BY date_trunc('minute', ts)",
+    "answer_costs": "SELECT CAST(coalesce(sum(floor(value) * 0.25::DOUBLE), 0.0) AS DOUBLE) AS cost_usd FROM events",
     "manifest_targets": """
 WITH x AS (
   SELECT event_id AS line_no, CASE event_type WHEN 'purchase' THEN 'Room ' || user_id WHEN 'click' THEN 'Hall ' || user_id ELSE '@rOOm' || user_id END AS label,

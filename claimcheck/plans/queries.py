@@ -9,10 +9,12 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimcheck import resolver
 from claimcheck.config import Settings
 from claimcheck.functions import scalars as S
 from claimcheck.operators import analytics, classify, compare, link, market
 from claimcheck.plans.stages import Pipeline
+from claimcheck.sources import bars as bar_sources
 from claimcheck.sources import chat, groups, store
 
 CFG = Settings()
@@ -227,6 +229,18 @@ def chat_api_messages(spark, sf_dir):
     return chat.from_api(e.select(F.to_json(obj).alias("json")), "c").select("message_uid", "message_id", "ts", "sender_id", "text", "reply_count")
 
 
+def tagged_bars(spark, sf_dir):
+    """Bars as a provider marks them."""
+    rows = _p(spark, sf_dir).bars.select("ts", "open", "high", "low", "close", "volume")
+    return bar_sources.tagged(rows, F.lit("XAUUSD"), "1min", "demo").select("bar_id", "instrument", "interval", "ts", "open", "close", "volume", "provider")
+
+
+def answer_costs(spark, sf_dir):
+    """What the cache of answers has cost, with an answer for each event."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return resolver.spent(e.select(F.col("event_id").cast("string").alias("cache_key"), (F.floor("value") * F.lit(0.25)).cast("double").alias("cost_usd")))
+
+
 def manifest_targets(spark, sf_dir):
     """Targets and labels of a manifest with a line for each event."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -272,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         actual_outcomes, actual_outcomes_fixed_sl, actual_state_counts, discrepancies, discrepancy_counts, group_metrics, group_metrics_window,
         tp_depth_levels, tp_depth_summary, tp_depth_wide, tp_depth_long, leaderboard, required_bar_range, market_gaps, insert_or_ignore,
         insert_or_replace, upsert_keeping, links_of_group, outcome_lookup, backfilled_messages, backfill_stats, chat_api_messages, manifest_targets,
+        tagged_bars, answer_costs,
         scalar_functions,
     )
 }
