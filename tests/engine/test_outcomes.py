@@ -1,5 +1,6 @@
 """Links, reported and actual outcomes, comparison and analytics on small tables."""
 
+import random
 from dataclasses import replace
 
 import pytest
@@ -148,3 +149,30 @@ def test_gaps(spark):
     assert market.required_range(h.signals(spark, []), CFG).count() == 0
     with pytest.raises(ValueError):
         market.gaps(h.bars(spark, [FLAT]), r, CFG, "2min")
+
+
+@pytest.mark.parametrize("top", [1, 2, 5])
+def test_best_candidates_are_those_of_all_pairs(spark, top):
+    rng = random.Random(top)
+    minute = lambda: rng.choice([0, 1, 2, 48 * 60, 48 * 60 + 1, rng.randrange(9000), rng.randrange(9000), 0.001 + rng.randrange(90)])
+    price = lambda *also: rng.choice([*also, 4700 + rng.randrange(40) / 4, 4700 + rng.random(), 4701.0 + 1e-9, 1e300])
+    s = [(f"{rng.choice('gk')}:{i}", minute(), "BUY", price(None), price(None), price(None), price(None), rng.choice([None, [], [price()], [price(), price(), price()]]), "COMPLETE") for i in range(400)]
+    f = [(f"{rng.choice('ghk')}:{1000 + i}", minute(), "TP_HIT", rng.choice([None, 0, 1, 2, 3, 9]), price(None, None), None) for i in range(300)]
+    s, f = h.signals(spark, s), h.follow_ups(spark, f)
+    pairs = link.interval_candidates(f, s, CFG)
+    best = lambda c: {(r.follow_up_id, r.rank): r for r in link._ranked(c).where(f"rank <= {top}").collect()}
+    few = link.best_candidates(f, s, CFG, top).cache()
+    want = best(pairs)
+    assert best(few) == want and len({k for k, _ in want}) > 150
+    assert few.columns == pairs.columns and few.count() <= 300 * 4 * 2 * 9 * top
+
+
+def test_links_of_a_busy_hour_do_not_meet_in_pairs(spark):
+    n = 1500
+    s = h.signals(spark, [(f"g:{i}", i / n, "BUY", 4700.0 + i % 7, None, None, None, [4800.0] * (i % 3), "COMPLETE") for i in range(n)])
+    f = h.follow_ups(spark, [(f"g:{5000 + i}", 2 + i / n, "TP_HIT", 1 + i % 2, None, None) for i in range(n)])
+    got = link.best_candidates(f, s, CFG, 1)
+    assert got.count() <= 2 * n
+    m = h.messages(spark, [(1, 0, "s", None)])
+    want = {f"g:{5000 + i}": f"g:{n - 1}" for i in range(n)}  # the last signal has two targets
+    assert {r.follow_up_id: r.signal_id for r in link.link(f, s, m, CFG).collect()} == want
