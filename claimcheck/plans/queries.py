@@ -87,7 +87,7 @@ def links(spark, sf_dir):
 
 def contested_links(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return link.contested(p.candidates, CFG).select("follow_up_id", F.bround("best", 6).alias("best"), F.bround("second", 6).alias("second"))
+    return link.contested(link.best_candidates(p.follow_ups, p.signals, CFG, 2), CFG).select("follow_up_id", F.bround("best", 6).alias("best"), F.bround("second", 6).alias("second"))
 
 
 def link_method_stats(spark, sf_dir):
