@@ -70,11 +70,14 @@ def parse_text(df: DataFrame, cfg: Settings, text_col: str = "text") -> DataFram
     return out.drop("__t", "__tp", "__sl", "__all", "__moved", "__pips", "__price")
 
 
-def parse_follow_ups(messages: DataFrame, cfg: Settings) -> DataFrame:
-    """Events of the messages that tell one; an event has its message's uid."""
+COLUMNS = [
+    "follow_up_id", "message_uid", "group_id", "ts", "event_type", "tp_index", "claimed_price", "claimed_pips", "new_stop_loss", "parse_method",
+    "parse_confidence", "parse_version", "parse_reasons",
+]
+
+
+def parse_follow_ups(messages: DataFrame, cfg: Settings, more: list[str] | None = None) -> DataFrame:
+    """Events of the messages that tell one; an event has its message's uid, and its columns ``more``."""
     parsed = parse_text(messages, cfg).where(F.col("event_type").isNotNull())
-    return parsed.select(
-        F.col("message_uid").alias("follow_up_id"), "message_uid", "group_id", "ts", "event_type", "tp_index",
-        "claimed_price", "claimed_pips", "new_stop_loss", F.lit("rules").alias("parse_method"), "parse_confidence",
-        F.lit(cfg.version).alias("parse_version"), "parse_reasons",
-    )
+    named = {"follow_up_id": F.col("message_uid"), "parse_method": F.lit("rules"), "parse_version": F.lit(cfg.version)}
+    return parsed.select(*[named.get(c, F.col(c)).alias(c) for c in COLUMNS], *more or [])

@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from claimcheck.config import Settings
 
 
-def reported_outcomes(signals: DataFrame, links: DataFrame, follow_ups: DataFrame, cfg: Settings) -> DataFrame:
+def reported_outcomes(signals: DataFrame, links: DataFrame, follow_ups: DataFrame | None, cfg: Settings) -> DataFrame:
     """One row a signal from its linked events, by one aggregation.
 
     Cancelled: NO_REPORT.  A stop at or before the first target: LOSS.  Any
     target: WIN, deepest target, sum of pips, closed at the last.  Closed by
     hand: BREAK_EVEN.  Other events: OPEN.  None: NO_REPORT.
+
+    ``follow_ups``: None if the links carry their columns.
     """
-    events = links.where(F.col("link_confidence") >= cfg.min_link_confidence).select("signal_id", "follow_up_id")
-    events = events.join(follow_ups.select("follow_up_id", "ts", "event_type", "tp_index", "claimed_pips"), "follow_up_id")
+    events = links.where(F.col("link_confidence") >= cfg.min_link_confidence)
+    if follow_ups is not None:
+        events = events.select("signal_id", "follow_up_id").join(follow_ups.select("follow_up_id", "ts", "event_type", "tp_index", "claimed_pips"), "follow_up_id")
 
     def first(kind):
         return F.min(F.when(F.col("event_type") == kind, F.struct("ts", "follow_up_id", "claimed_pips")))

@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 
 GROUPS = 12
 STOP, TARGET = 20.0, 10.0
+KINDS = ["purchase", "click", "error", "view"]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their price ``p`` and group's number ``g``; ``kind`` is the number of their type from 1, 0 for others."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
     price = F.lit(1900.0) + F.floor(F.least("value", F.lit(100.0)) * 4).cast("double") / 4
-    return e.select("event_id", "ts", "event_type", price.alias("p"), F.concat(F.lit("g"), (F.col("user_id") % GROUPS).cast("string")).alias("group_id"))
+    kind = F.array_position(F.array(*map(F.lit, KINDS)), F.col("event_type")).cast("int")
+    return e.select("event_id", "ts", kind.alias("kind"), price.alias("p"), (F.col("user_id") % GROUPS).alias("g"))
 
 
 def _price(x: Column) -> Column:
@@ -59,23 +62,27 @@ def _latest_purchase(e: DataFrame) -> DataFrame:
     """``e`` with the id of its group's latest earlier purchase, null without one.
 
     Days are looked through one by one and what the days before leave over is
-    carried on, so that no task needs all events of a group.
+    carried on, so that no task needs all events of a group.  Rows are dealt
+    out once, as numbers; each day's last purchase is found before that.
     """
+    bought, order = F.col("kind") == 1 + KINDS.index("purchase"), F.struct("ts", "event_id")
+    day = F.to_date("ts")
+    days = e.groupBy("g", day.alias("day")).agg(F.max_by(F.when(bought, F.col("event_id")), F.when(bought, order)).alias("last"))
+    before = Window.partitionBy("g").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("g", "day", F.last("last", ignorenulls=True).over(before).alias("carried"))
     # dealt by number, which is not merged into few tasks: texts cost more than their bytes tell
     n = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    e = e.withColumn("day", F.to_date("ts")).repartition(n, "group_id", "day")
-    bought, order = F.col("event_type") == "purchase", F.struct("ts", "event_id")
-    days = e.groupBy("group_id", "day").agg(F.max_by(F.when(bought, F.col("event_id")), F.when(bought, order)).alias("last"))
-    before = Window.partitionBy("group_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("group_id", "day", F.last("last", ignorenulls=True).over(before).alias("carried"))
-    earlier = Window.partitionBy("group_id", "day").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    e = e.repartition(n, "g", day).withColumn("day", day)
+    earlier = Window.partitionBy("g", "day").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
     e = e.withColumn("today", F.last(F.when(bought, F.col("event_id")), ignorenulls=True).over(earlier))
-    return e.join(days, ["group_id", "day"]).withColumn("latest", F.coalesce("today", "carried")).drop("today", "carried", "day")
+    return e.join(days, ["g", "day"]).withColumn("latest", F.coalesce("today", "carried")).drop("today", "carried", "day")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages table; every third message answers its group's latest earlier purchase."""
     e = _latest_purchase(events(spark, sf_dir))
+    kind = F.get(F.array(*map(F.lit, KINDS)), F.col("kind") - 1)
+    e = e.select("event_id", "ts", "p", "latest", kind.alias("event_type"), F.concat(F.lit("g"), F.col("g").cast("string")).alias("group_id"))
     return e.select(
         F.concat_ws(":", "group_id", F.col("event_id").cast("string")).alias("message_uid"),
         "group_id",

@@ -74,7 +74,7 @@ def event_type_counts(spark, sf_dir):
 
 def link_reply_to(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return link.reply_links(p.follow_ups, p.messages, p.signals)
+    return link.reply_links(p.follow_ups, p.told, p.signals)
 
 
 def link_interval_candidates(spark, sf_dir):
@@ -87,7 +87,7 @@ def links(spark, sf_dir):
 
 def contested_links(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return link.contested(link.best_candidates(p.follow_ups, p.signals, CFG, 2), CFG).select("follow_up_id", F.bround("best", 6).alias("best"), F.bround("second", 6).alias("second"))
+    return link.contested(link.best_candidates(p.follow_ups, p.signals, CFG, 2, keyed=True), CFG).select("follow_up_id", F.bround("best", 6).alias("best"), F.bround("second", 6).alias("second"))
 
 
 def link_method_stats(spark, sf_dir):
@@ -96,7 +96,7 @@ def link_method_stats(spark, sf_dir):
 
 def low_confidence_links(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return link.low_confidence(p.links, p.follow_ups, p.signals, p.messages, CFG).withColumn("link_confidence", F.bround("link_confidence", 6))
+    return link.low_confidence(p.links, p.follow_ups, p.signals, p.told, CFG).withColumn("link_confidence", F.bround("link_confidence", 6))
 
 
 def reported_outcomes(spark, sf_dir):

@@ -13,6 +13,9 @@ from claimcheck.operators import actual, classify, compare, link, parse_follow_u
 from claimcheck.plans import demo
 
 
+EVENT = ["ts", "event_type", "tp_index", "claimed_pips"]
+
+
 class Pipeline:
     """Lazily planned stages over a messages and a bars table.
 
@@ -20,14 +23,20 @@ class Pipeline:
     default it is persisted in memory and on disk until ``close``,
     ``store.Store.replace`` and reading back make it a stored table instead.
 
+    What takes space on disk is kept narrow: of the messages, only those that
+    tell a signal or a follow-up; links are not kept by default, as a query
+    reads them once.  They carry their follow-ups' columns, so that nobody has
+    to look these up (``texts``: the texts too).
+
     ``resolvers``: optional functions by stage ("classify", "signals",
     "follow_ups", "tiebreak"), see ``claimcheck.resolver``.
     """
 
-    def __init__(self, messages: DataFrame, bars: DataFrame | None = None, cfg: Settings | None = None, resolvers: dict | None = None, keep=None):
+    def __init__(self, messages: DataFrame, bars: DataFrame | None = None, cfg: Settings | None = None, resolvers: dict | None = None, keep=None, texts: bool = False):
         self._kept: list[DataFrame] = []
-        self.keep = keep or self._persist
+        self._stored, self.keep = keep is not None, keep or self._persist
         self._messages, self.bars, self.cfg, self.resolvers = messages, bars, cfg or Settings(), resolvers or {}
+        self._carried = EVENT + ["text"] * texts
 
     def _persist(self, df: DataFrame) -> DataFrame:
         self._kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
@@ -39,8 +48,8 @@ class Pipeline:
             self._kept.pop().unpersist()
 
     @classmethod
-    def demo(cls, spark: SparkSession, sf_dir: str, cfg: Settings | None = None) -> Pipeline:
-        return cls(demo.messages(spark, sf_dir), demo.bars(spark, sf_dir), cfg)
+    def demo(cls, spark: SparkSession, sf_dir: str, cfg: Settings | None = None, **more) -> Pipeline:
+        return cls(demo.messages(spark, sf_dir), demo.bars(spark, sf_dir), cfg, **more)
 
     @cached_property
     def classified(self) -> DataFrame:
@@ -59,8 +68,16 @@ class Pipeline:
     def classes(self) -> DataFrame:
         return self.classified.select("message_uid", *classify.COLUMNS)
 
+    @cached_property
+    def told(self) -> DataFrame:
+        """Messages that tell a signal or a follow-up, with their class."""
+        whole = self._stored or "classify" in self.resolvers
+        rows = self.classified if whole else classify.with_class(self._messages, self.cfg)
+        rows = rows.select(*self._messages.columns, "class").where(F.col("class").isin("SIGNAL", "FOLLOW_UP"))
+        return rows if whole else self.keep(rows)
+
     def of_class(self, name: str) -> DataFrame:
-        return self.classified.where(F.col("class") == name).select(self._messages.columns)
+        return self.told.where(F.col("class") == name).select(self._messages.columns)
 
     @cached_property
     def signals(self) -> DataFrame:
@@ -69,22 +86,37 @@ class Pipeline:
         return self.keep(self.resolvers["signals"](told, rules, self.cfg) if "signals" in self.resolvers else rules)
 
     @cached_property
-    def follow_ups(self) -> DataFrame:
+    def _replying(self) -> DataFrame:
+        """Follow-ups with what they reply to and, if asked for, their texts, where their message is at hand."""
         told = self.of_class("FOLLOW_UP")
-        rules = parse_follow_ups.parse_follow_ups(told, self.cfg)
-        return self.keep(self.resolvers["follow_ups"](told, rules, self.cfg) if "follow_ups" in self.resolvers else rules)
+        more = ["reply_to_msg_id", *[c for c in self._carried if c not in EVENT]]
+        if self._stored or "follow_ups" in self.resolvers:
+            rules = parse_follow_ups.parse_follow_ups(told, self.cfg)
+            rules = self.keep(self.resolvers["follow_ups"](told, rules, self.cfg) if "follow_ups" in self.resolvers else rules)
+            return rules.join(self.told.select("message_uid", *more), "message_uid", "left")
+        return self.keep(parse_follow_ups.parse_follow_ups(told, self.cfg, more))
+
+    @property
+    def follow_ups(self) -> DataFrame:
+        return self._replying.select(parse_follow_ups.COLUMNS)
 
     @cached_property
     def candidates(self) -> DataFrame:
         return link.interval_candidates(self.follow_ups, self.signals, self.cfg)
 
     @cached_property
+    def linked(self) -> DataFrame:
+        """Links with the columns of their follow-ups."""
+        out = link.link(self._replying, self.signals, None, self.cfg, self.resolvers.get("tiebreak"), self._carried)
+        return self.keep(out) if self._stored or "tiebreak" in self.resolvers else out
+
+    @property
     def links(self) -> DataFrame:
-        return self.keep(link.link(self.follow_ups, self.signals, self.messages, self.cfg, self.resolvers.get("tiebreak")))
+        return self.linked.drop(*self._carried)
 
     @cached_property
     def reported(self) -> DataFrame:
-        return self.keep(reported.reported_outcomes(self.signals, self.links, self.follow_ups, self.cfg))
+        return self.keep(reported.reported_outcomes(self.signals, self.linked, None, self.cfg))
 
     @cached_property
     def actual(self) -> DataFrame:
