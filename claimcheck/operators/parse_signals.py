@@ -105,11 +105,11 @@ def parse_text(df: DataFrame, cfg: Settings, text_col: str = "text") -> DataFram
     return T.settle(out.drop("__n", "__range", "__line", "__word"))
 
 
-def parse_signals(messages: DataFrame, cfg: Settings) -> DataFrame:
-    """Signals of the messages that parse; a signal has its message's uid."""
+def parse_signals(messages: DataFrame, cfg: Settings, more: list[str] | None = None) -> DataFrame:
+    """Signals of the messages that parse; a signal has its message's uid, and its columns ``more``."""
     parsed = parse_text(messages, cfg).where(F.col("reject").isNull())
     return parsed.select(
         F.col("message_uid").alias("signal_id"), "message_uid", "group_id", "ts", "direction", "instrument",
         "entry", "entry_low", "entry_high", "stop_loss", "take_profits", "quality_flag",
-        F.lit("rules").alias("parse_method"), "parse_confidence", F.lit(cfg.version).alias("parse_version"), "parse_reasons",
+        F.lit("rules").alias("parse_method"), "parse_confidence", F.lit(cfg.version).alias("parse_version"), "parse_reasons", *more or [],
     )

@@ -24,7 +24,7 @@ FIXED = replace(CFG, default_sl_policy="FIXED_PIPS", max_holding_hours=6.0)
 _last: list[Pipeline] = []
 
 
-def _p(spark: SparkSession, sf_dir: str, cfg: Settings = CFG) -> Pipeline:
+def _p(spark: SparkSession, sf_dir: str, cfg: Settings = CFG, **more) -> Pipeline:
     """The stages of one query; what the query before has persisted is given up first.
 
     (Later would be too late: Spark knows persisted tables by their plans, which
@@ -33,7 +33,7 @@ def _p(spark: SparkSession, sf_dir: str, cfg: Settings = CFG) -> Pipeline:
     while _last:
         with contextlib.suppress(Exception):  # its session may be gone
             _last.pop().close()
-    _last.append(Pipeline.demo(spark, sf_dir, cfg))
+    _last.append(Pipeline.demo(spark, sf_dir, cfg, **more))
     return _last[-1]
 
 
@@ -95,8 +95,8 @@ def link_method_stats(spark, sf_dir):
 
 
 def low_confidence_links(spark, sf_dir):
-    p = _p(spark, sf_dir)
-    return link.low_confidence(p.links, p.follow_ups, p.signals, p.told, CFG).withColumn("link_confidence", F.bround("link_confidence", 6))
+    p = _p(spark, sf_dir, texts=True)
+    return link.low_confidence(p.linked, None, p.signals, None, CFG).withColumn("link_confidence", F.bround("link_confidence", 6))
 
 
 def reported_outcomes(spark, sf_dir):

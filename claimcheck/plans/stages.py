@@ -26,7 +26,7 @@ class Pipeline:
     What takes space on disk is kept narrow: of the messages, only those that
     tell a signal or a follow-up; links are not kept by default, as a query
     reads them once.  They carry their follow-ups' columns, so that nobody has
-    to look these up (``texts``: the texts too).
+    to look these up (``texts``: the texts too, as do the signals).
 
     ``resolvers``: optional functions by stage ("classify", "signals",
     "follow_ups", "tiebreak"), see ``claimcheck.resolver``.
@@ -82,8 +82,10 @@ class Pipeline:
     @cached_property
     def signals(self) -> DataFrame:
         told = self.of_class("SIGNAL")
-        rules = parse_signals.parse_signals(told, self.cfg)
-        return self.keep(self.resolvers["signals"](told, rules, self.cfg) if "signals" in self.resolvers else rules)
+        if "signals" in self.resolvers:
+            out = self.keep(self.resolvers["signals"](told, parse_signals.parse_signals(told, self.cfg), self.cfg))
+            return out.join(self.told.select("message_uid", "text"), "message_uid", "left") if "text" in self._carried else out
+        return self.keep(parse_signals.parse_signals(told, self.cfg, [c for c in self._carried if c not in EVENT]))
 
     @cached_property
     def _replying(self) -> DataFrame:

@@ -20,7 +20,7 @@ def dealt_by(df):
 
 
 # a busy group's signals are many times their number once they are spread over levels and targets
-@pytest.mark.parametrize("name", ["links", "links_of_group", "contested_links", "reported_outcomes", "outcome_lookup", "tp_depth_levels", "group_metrics", "discrepancy_counts"])
+@pytest.mark.parametrize("name", ["links", "links_of_group", "low_confidence_links", "contested_links", "reported_outcomes", "outcome_lookup", "tp_depth_levels", "group_metrics", "discrepancy_counts"])
 def test_links_deal_rows_out_before_they_multiply(spark, name):
     keys = dealt_by(queries.QUERIES[name](spark, SF))
     assert "group_id, slot" in keys
