@@ -43,3 +43,9 @@ def test_carried_columns_are_those_of_the_follow_up(spark):
         assert [(got[k].ts, got[k].event_type, got[k].tp_index, got[k].claimed_price, got[k].claimed_pips) for k in ("g:7", "g:8", "g:9")] == [
             (h.at(10), "TP_HIT", 1, None, 30.0), (h.at(11), "CANCEL", None, None, None), (h.at(12), "SL_HIT", None, 4700.5, -5.0),
         ]
+
+
+def test_follow_ups_meet_their_pairs_in_one_slot(spark):
+    plan = queries.QUERIES["link_interval_candidates"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    spread = re.findall(r"Generate explode\(array\(.*?\]", plan)
+    assert spread and all("signal_id" in x and "follow_up_id" not in x for x in spread)
