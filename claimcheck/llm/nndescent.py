@@ -1,232 +1,229 @@
 """Nearest neighbours by NN-descent and greedy graph search (operator 10).
 
-Index: every distinct vector becomes a node with its K nearest found so far.
-The first lists come from blocks of a few hundred nodes that share the signs of
-random projections.  Then each round joins the neighbours of neighbours: a
-node's list and the nodes that list it meet in one group, the pairs of that
-group in which one is new are measured, and whoever is nearer than the worst of
-a list is sent there; lists merge and the round repeats.
-
-Search: a query starts at its own node, if its vector is indexed, and at a few
-fixed nodes.  Each round joins the best unexpanded nodes of all queries' beams
-with the graph, measures what is new, and keeps the best of each beam, until
-every beam is expanded.  The beams' best are measured again on the original
-vectors in double precision, and copies of a vector come back as rows.
-
-Nodes travel as one byte a component and a scale.  All state lies in tables
-keyed by node or query; nothing is broadcast but counts.
+Index: every distinct vector becomes a node of one of several shards of equal
+size, dealt by a hash.  In a shard each node has its K nearest found so far.
+The first lists come from blocks of nodes on the same sides of random
+projections.  Then each round joins the neighbours of neighbours: a node's list
+and the nodes that list it meet in one group, the pairs of that group in which
+one is new are measured, and whoever is nearer than the worst of a list enters
+it.
+
+Search: a query is put to every shard.  It starts at its own node, if that is
+there, and at a few fixed nodes.  Each round measures the neighbours of the best
+unexpanded nodes of its beam and keeps the best, until the beam is expanded.
+The beam's best are measured again on the original vectors in double precision;
+the best of all shards are the result, copies of a vector as rows of their own.
+
+A shard is a task's numpy arrays, so that neither its rounds nor a search's pass
+through a shuffle; vectors are dealt out once for the graph and once for all
+searches.  Nothing is broadcast but counts.
 """
 
 from __future__ import annotations
 
-import gc
-from contextlib import contextmanager
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimcheck.llm._util import cut, prepare
+from claimcheck.llm._util import cut, giving_back, prepare
 from claimcheck.llm._vectors import as_double, matrix, usable
 
 K = 32  # neighbours a node keeps
-REVERSE = 32  # nearest of the nodes that list a node, in the join of neighbours
-GRAPH_REVERSE = 64  # the same, in the searched graph
-BLOCK = 200  # nodes of a first block, about
+REVERSE = 24  # nearest of the nodes that list a node, in the join of neighbours
+GRAPH_REVERSE = 48  # the same, in the searched graph
+BLOCK = 500  # nodes of a first block at most
 SEEDS = 3  # first blockings
 ROUNDS = 5
-BEAM, EXPAND, RERANK = 256, 64, 128
-WIDER = 50_000  # nodes beyond which the beam widens with their logarithm
-ENTRIES = 16  # nodes where every query starts beside its own
-NARROW_ROWS = 20_000  # narrow rows in one Arrow batch
-
+BEAM, EXPAND, RERANK = 160, 8, 128
+ENTRIES = 32  # nodes where every query starts beside its own
+SHARD = 25_000  # nodes of a shard, about: what a task holds
+SPREAD, FEWEST = 12, 2_000  # so many shards even of fewer nodes, but of so many nodes each
+GROUPS, MERGED, ASKED = 256, 2_048, 128  # groups joined, groups merged and queries searched at once
 
-def beam_for(n: int) -> int:
-    """The beam's width: BEAM, and as much again for each doubling of the nodes beyond WIDER."""
-    return int(BEAM * (1 + max(0.0, np.log2(max(1, n) / WIDER))))
 
+def shards_for(n: int) -> int:
+    return max(1, -(-n // SHARD), min(SPREAD, n // FEWEST))
 
-@contextmanager
-def _narrow(spark: SparkSession):
-    """Larger Arrow batches for narrow rows that are computed within."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(NARROW_ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
 
+def pack(x: np.ndarray) -> list[bytes]:
+    """Rows of doubles as bytes, each exactly: as floats where these are the same."""
+    with np.errstate(over="ignore"):
+        f = x.astype(np.float32)
+    same = (f.astype(np.float64) == x).all(axis=1)
+    return [a.tobytes() if ok else b.tobytes() for a, b, ok in zip(f, x, same, strict=True)]
 
-def _tidy(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of earlier rounds."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
 
+def unpack(raw: list[bytes], dim: int) -> np.ndarray:
+    """Rows of doubles of ``pack``."""
+    if all(len(r) == 4 * dim for r in raw):
+        return np.frombuffer(b"".join(raw), np.float32).reshape(-1, dim).astype(np.float64)
+    return np.stack([np.frombuffer(r, np.float32 if len(r) == 4 * dim else np.float64).astype(np.float64) for r in raw])
 
-def shrink(x: np.ndarray) -> list[bytes]:
-    """Rows as a float32 scale and one signed byte a component."""
-    scale = np.abs(x).max(axis=1) if len(x) else np.zeros(0)
-    q = np.rint(x / scale[:, None] * 127).astype(np.int8)
-    return [s.tobytes() + r.tobytes() for s, r in zip(scale.astype(np.float32), q, strict=True)]
 
-
-def grow(raw: list[bytes]) -> np.ndarray:
-    """float32 rows of ``shrink``."""
-    if not raw:
-        return np.zeros((0, 1), np.float32)
-    b = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
-    return b[:, 4:].view(np.int8).astype(np.float32) * (b[:, :4].copy().view(np.float32) / 127)
+def _largest(x: np.ndarray) -> float:
+    """By what a shard's vectors are divided, so that floats hold their squares."""
+    return float(np.abs(x).max())
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Squared distances between rows, computed so that near ones keep their digits."""
-    d = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None] - 2 * x @ y.T
-    return np.maximum(d, 0)
-
-
-def _runs(keys: np.ndarray) -> np.ndarray:
-    """Bounds of runs of equal keys."""
-    return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)])) if len(keys) else np.zeros(1, np.int64)
-
-
-def _groups(batches, names: list[str], keys: int = 1):
-    """Tables of whole groups (by the first ``keys`` columns) from batches sorted by them."""
-    kept = None
-    for t in batches:
-        if not t.num_rows:
+    """Squared distances between rows, of single matrices or of stacks."""
+    return np.maximum((x * x).sum(axis=-1)[..., :, None] + (y * y).sum(axis=-1)[..., None, :] - 2 * x @ np.swapaxes(y, -1, -2), 0)
+
+
+def _places(keys: np.ndarray) -> np.ndarray:
+    """The place of each element in its run of equal keys, from 0."""
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    start = np.flatnonzero(first)
+    return np.arange(len(keys)) - np.repeat(start, np.diff(np.append(start, len(keys))))
+
+
+def _nearest_of(k: int, ids: np.ndarray, ds: np.ndarray, fresh: np.ndarray):
+    """The k nearest of each row, repeated ids and those under 0 left out; of equal ids the first stays."""
+    o = np.argsort(ids, axis=1, kind="stable")
+    i = np.take_along_axis(ids, o, 1)
+    d, f = np.take_along_axis(ds, o, 1), np.take_along_axis(fresh, o, 1)
+    out = i < 0
+    out[:, 1:] |= i[:, 1:] == i[:, :-1]
+    d = np.where(out, np.float32(np.inf), d)
+    o = np.argsort(d, axis=1, kind="stable")[:, :k]
+    i, d, f = (np.take_along_axis(a, o, 1) for a in (i, d, f))
+    none = np.isinf(d)
+    return np.where(none, -1, i), d, f & ~none
+
+
+def _blocks(x: np.ndarray, block: int, rng: np.random.Generator):
+    """Nodes split in halves by random projections until a part has at most ``block``."""
+    todo = [np.arange(len(x))]
+    while todo:
+        part = todo.pop()
+        if len(part) <= block:
+            yield part
             continue
-        t = pa.Table.from_batches([t]).select(names)
-        t = pa.concat_tables([kept, t]).combine_chunks() if kept is not None else t
-        same = np.ones(t.num_rows, bool)
-        for c in names[:keys]:
-            k = t.column(c).to_numpy()
-            same &= k == k[-1]
-        first = int(len(same) - np.argmin(same[::-1])) if not same.all() else 0
-        if first:
-            yield t.slice(0, first)
-        kept = t.slice(first)
-    if kept is not None:
-        yield kept
-
-
-def _edges(u, v, d) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(d, pa.float32())], names=["u", "id", "d"])
-
-
-EDGE = "u long, id long, d float"
-LISTS = "u long, ids array<long>, ds array<float>, fresh array<boolean>"
-
-
-def _first_edges(nodes: DataFrame, n: int, k: int, block: int, seeds: int) -> DataFrame:
-    """Nearest within blocks of nodes that share the signs of random projections.
-
-    A sign pattern that many nodes share is dealt on by a hash.
-    """
-    bits = max(0, int(np.log2(max(1, n / block))))
-
-    def code(batches):
-        for t in batches:
-            raw = t.column("vq").to_pylist()
-            x = grow(raw)
-            for s in range(seeds):
-                h = np.random.default_rng(100 + s).normal(size=(x.shape[1], bits))
-                c = ((x @ h > 0) * (1 << np.arange(bits, dtype=np.int64))).sum(axis=1) if bits else np.zeros(len(x), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), s, np.int32)), pa.array(c), t.column("rep"), t.column("vq")], names=["s", "code", "rep", "vq"])
-
-    coded = nodes.mapInArrow(code, "s int, code long, rep long, vq binary")
-    size = coded.groupBy("s", "code").agg(F.ceil(F.count("*") / (2 * block)).cast("int").alias("parts"))
-    dealt = coded.join(size, ["s", "code"]).withColumn("part", F.pmod(F.xxhash64("rep", "s"), F.col("parts")).cast("int"))
-
-    def near(batches):
-        for t in _groups(batches, ["s", "code", "part", "rep", "vq"], 3):
-            key = np.stack([t.column(c).to_numpy() for c in ("s", "code", "part")])
-            cuts = np.concatenate(([0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, [key.shape[1]]))
-            rep, raw = t.column("rep").to_numpy(), t.column("vq").to_pylist()
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                x, r = grow(raw[a:b]), rep[a:b]
-                d = distances(x, x)
-                np.fill_diagonal(d, np.inf)
-                m = min(k, len(r) - 1)
-                if m <= 0:
-                    continue
+        o = np.argpartition(x[part] @ rng.normal(size=x.shape[1]).astype(np.float32), len(part) // 2)
+        todo += [part[o[: len(part) // 2]], part[o[len(part) // 2 :]]]
+
+
+def _reversed(ids: np.ndarray, ds: np.ndarray, fresh: np.ndarray, most: int):
+    """Of each node the nearest of the nodes that list it, and whether that is new."""
+    u, j = np.nonzero(ids >= 0)
+    v, d = ids[u, j], ds[u, j]
+    o = np.lexsort((u, d, v))
+    u, v, f = u[o], v[o], fresh[u, j][o]
+    at = _places(v)
+    keep = at < most
+    back, new = np.full((len(ids), most), -1, np.int32), np.zeros((len(ids), most), bool)
+    back[v[keep], at[keep]], new[v[keep], at[keep]] = u[keep], f[keep]
+    return back, new
+
+
+def descend(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
+    """The graph of a shard: each node's list and those that list it, -1 where there are fewer."""
+    n = len(x)
+    ids, ds, fresh = np.full((n, k), -1, np.int32), np.full((n, k), np.inf, np.float32), np.zeros((n, k), bool)
+    for s in range(SEEDS if n > BLOCK else 1):
+        for part in _blocks(x, BLOCK, np.random.default_rng(100 + s)):
+            d = distances(x[part], x[part])
+            np.fill_diagonal(d, np.inf)
+            m = min(k, len(part) - 1)
+            if m:
                 j = np.argpartition(d, m - 1, axis=1)[:, :m]
-                yield _edges(np.repeat(r, m), r[j.ravel()], np.take_along_axis(d, j, 1).ravel())
-
-    return dealt.select("s", "code", "part", "rep", "vq").repartition("s", "code", "part").sortWithinPartitions("s", "code", "part").mapInArrow(near, EDGE)
-
-
-def _merge(lists: DataFrame | None, edges: DataFrame, k: int) -> DataFrame:
-    """The k nearest of each node's list and of the edges sent to it."""
-    cols = ["u", "id", "d", "old"]
-    rows = edges.select("u", "id", "d", F.lit(False).alias("old"))
-    if lists is not None:
-        have = lists.select("u", F.explode(F.arrays_zip("ids", "ds")).alias("e")).select("u", F.col("e.ids").alias("id"), F.col("e.ds").alias("d"), F.lit(True).alias("old"))
-        rows = rows.unionByName(have)
-
-    def run(batches):
-        for t in _groups(batches, cols):
-            u, v, d = (t.column(c).to_numpy() for c in ("u", "id", "d"))
-            old = t.column("old").to_numpy(zero_copy_only=False)
-            o = np.lexsort((~old, v, u))  # an edge that was there comes first and stays as it was
-            u, v, d, old = u[o], v[o], d[o], old[o]
-            one = np.ones(len(u), bool)
+                near = np.concatenate((ids[part], part[j].astype(np.int32)), axis=1), np.concatenate((ds[part], np.take_along_axis(d, j, 1)), axis=1)
+                ids[part], ds[part], fresh[part] = _nearest_of(k, *near, np.ones(near[0].shape, bool))
+    for _ in range(rounds if n > BLOCK else 0):
+        back, back_new = _reversed(ids, ds, fresh, REVERSE)
+        group, new = np.concatenate((ids, back), axis=1), np.concatenate((fresh, back_new), axis=1)
+        busy = np.flatnonzero(new.any(axis=1))
+        fresh = np.zeros((n, k), bool)
+        for a in range(0, len(busy), MERGED):
+            sent = []
+            for b in range(a, min(a + MERGED, len(busy)), GROUPS):
+                g = group[busy[b : min(b + GROUPS, a + MERGED)]]
+                f = new[busy[b : min(b + GROUPS, a + MERGED)]]
+                y = x[g]
+                d = distances(y, y)
+                there = g >= 0
+                ok = (d < np.where(there, ds[g, -1], 0)[:, :, None]) & (f[:, :, None] | f[:, None, :]) & there[:, None, :] & (g[:, :, None] != g[:, None, :])
+                at, i, j = np.nonzero(ok)
+                sent.append((g[at, i], g[at, j], d[at, i, j]))
+            u, v, d = (np.concatenate(c) for c in zip(*sent, strict=True))
+            o = np.lexsort((v, u))
+            u, v, d = u[o], v[o], d[o]
+            one = np.ones(len(u), bool)  # a pair met in several groups is sent once
             one[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
-            u, v, d, old = u[one], v[one], d[one], old[one]
-            o = np.lexsort((v, d, u))
-            u, v, d, old = u[o], v[o], d[o], old[o]
-            cut_at = _runs(u)
-            keep = (np.arange(len(u)) - np.repeat(cut_at[:-1], np.diff(cut_at))) < k
-            sizes = np.add.reduceat(keep, cut_at[:-1]) if len(u) else np.zeros(0, int)
-            ends = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-            lists_of = lambda x: pa.ListArray.from_arrays(ends, pa.array(x[keep]))
-            yield pa.RecordBatch.from_arrays([pa.array(u[cut_at[:-1]]), lists_of(v), lists_of(d), lists_of(~old)], names=["u", "ids", "ds", "fresh"])
-
-    return rows.repartition("u").sortWithinPartitions("u").mapInArrow(run, LISTS)
-
-
-def _reverse(lists: DataFrame, most: int) -> DataFrame:
-    """(v, m, fresh): the nearest of the nodes m that list v."""
-    e = lists.select("u", F.explode(F.arrays_zip("ids", "ds", "fresh")).alias("e")).select(F.col("e.ids").alias("v"), F.col("u").alias("m"), F.col("e.ds").alias("d"), F.col("e.fresh").alias("fresh"))
-    w = Window.partitionBy("v").orderBy("d", "m")
-    return e.withColumn("r", F.row_number().over(w)).where(F.col("r") <= most).select("v", "m", "fresh")
-
-
-def _round(lists: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """Edges between neighbours of neighbours that enter a list."""
-    own = lists.select(F.col("u").alias("v"), F.explode(F.arrays_zip("ids", "fresh")).alias("e")).select("v", F.col("e.ids").alias("m"), F.col("e.fresh").alias("fresh"))
-    worst = lists.select(F.col("u").alias("m"), F.when(F.size("ids") >= k, F.array_max("ds")).otherwise(F.lit(float("inf"))).cast("float").alias("worst"))
-    group = own.unionByName(_reverse(lists, REVERSE))
-    carried = nodes.withColumnRenamed("rep", "m").join(worst, "m")
-    rows = group.join(carried, "m").select("v", "m", "fresh", "vq", "worst")
-
-    def run(batches):
-        for t in _groups(batches, ["v", "m", "fresh", "vq", "worst"]):
-            v, m = t.column("v").to_numpy(), t.column("m").to_numpy()
-            fresh, worst = t.column("fresh").to_numpy(zero_copy_only=False), t.column("worst").to_numpy()
-            x = grow(t.column("vq").to_pylist())
-            us, vs, ds = [], [], []
-            cuts = _runs(v)
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                f = fresh[a:b]
-                if not f.any():
-                    continue
-                d = distances(x[a:b], x[a:b])
-                ok = (f[:, None] | f[None]) & (m[a:b][:, None] != m[a:b][None]) & (d < worst[a:b][:, None])
-                i, j = np.nonzero(ok)
-                us.append(m[a:b][i])
-                vs.append(m[a:b][j])
-                ds.append(d[i, j])
-            if us:
-                u, w, d = np.concatenate(us), np.concatenate(vs), np.concatenate(ds)
-                o = np.lexsort((w, u))  # a pair met in several groups of a batch is sent once
-                u, w, d = u[o], w[o], d[o]
-                one = np.ones(len(u), bool)
-                one[1:] = (u[1:] != u[:-1]) | (w[1:] != w[:-1])
-                yield _edges(u[one], w[one], d[one])
-
-    return rows.repartition("v").sortWithinPartitions("v").mapInArrow(run, EDGE)
+            u, v, d = u[one], v[one], d[one]
+            o = np.lexsort((d, u))
+            u, v, d = u[o], v[o], d[o]
+            at = _places(u)
+            u, v, d, at = (c[at < k] for c in (u, v, d, at))
+            if len(u):
+                to, row = np.unique(u, return_inverse=True)
+                more, far = np.full((len(to), k), -1, np.int32), np.full((len(to), k), np.inf, np.float32)
+                more[row, at], far[row, at] = v, d
+                both = [np.concatenate(c, axis=1) for c in ((ids[to], more), (ds[to], far), (fresh[to], np.ones(more.shape, bool)))]
+                ids[to], ds[to], fresh[to] = _nearest_of(k, *both)
+        if fresh.sum() <= 0.01 * n * k:
+            break
+    return np.concatenate((ids, _reversed(ids, ds, fresh, GRAPH_REVERSE)[0]), axis=1)
+
+
+def walk(x: np.ndarray, near: np.ndarray, asked: np.ndarray, own: np.ndarray, beam: int, expand: int) -> np.ndarray:
+    """The beams of queries after a greedy search of a shard's graph, nearest first, -1 where there are fewer.
+
+    ``own``: a query's own node, or -1.
+    """
+    n, beam = len(x), min(beam, len(x))
+    some = np.random.default_rng(7).choice(n, min(ENTRIES, n), replace=False)
+    norms, out = (x * x).sum(axis=1), np.full((len(asked), beam), -1, np.int64)
+    live, q = np.arange(len(asked)), asked
+    ids, ds, done = np.full((len(q), beam), -1, np.int64), np.full((len(q), beam), np.inf, np.float32), np.ones((len(q), beam), bool)
+    seen = np.zeros((len(q), n), bool)
+    cand = np.concatenate((own[:, None], np.broadcast_to(some, (len(q), len(some)))), axis=1)
+    while True:
+        cand = np.sort(cand, axis=1)
+        new = cand >= 0
+        new[:, 1:] &= cand[:, 1:] != cand[:, :-1]
+        r, c = np.nonzero(new)
+        v = cand[r, c]
+        ok = ~seen[live[r], v]
+        r, c, v = r[ok], c[ok], v[ok]
+        seen[live[r], v] = True
+        d = np.full(cand.shape, np.inf, np.float32)
+        d[r, c] = norms[v] - 2 * np.einsum("ij,ij->i", x[v], q[r])  # the query's own square is the same for all
+        ids, ds = np.concatenate((ids, cand), axis=1), np.concatenate((ds, d), axis=1)
+        done = np.concatenate((done, np.isinf(d)), axis=1)
+        o = np.argpartition(ds, beam - 1, axis=1)[:, :beam]
+        o = np.take_along_axis(o, np.argsort(np.take_along_axis(ds, o, 1), axis=1, kind="stable"), 1)
+        ids, ds, done = (np.take_along_axis(a, o, 1) for a in (ids, ds, done))
+        out[live] = np.where(np.isinf(ds), -1, ids)
+        left = ~done.all(axis=1)
+        if not left.any():
+            return out
+        live, q, ids, ds, done = live[left], q[left], ids[left], ds[left], done[left]
+        place = np.cumsum(~done, axis=1)
+        r, c = np.nonzero(~done & (place <= expand))
+        front = np.full((len(live), expand), -1, np.int64)
+        front[r, place[r, c] - 1] = ids[r, c]
+        done[r, c] = True
+        cand = np.where(front[:, :, None] >= 0, near[front], -1).reshape(len(live), -1)
+
+
+def _whole(batches, names: list[str]):
+    """The tables of a task's shards, from batches sorted by shard."""
+    kept: list[pa.Table] = []
+    for t in batches:
+        t = pa.Table.from_batches([t]).select(names)
+        while t.num_rows:
+            s = t.column("shard").to_numpy()
+            if kept and kept[0].column("shard")[0].as_py() != s[0]:
+                yield pa.concat_tables(kept)
+                kept = []
+            same = int(np.searchsorted(s, s[0], side="right"))
+            kept.append(t.slice(0, same))
+            t = t.slice(same)
+    if kept:
+        yield pa.concat_tables(kept)
 
 
 class Index:
@@ -249,109 +246,73 @@ class Index:
         w = Window.partitionBy("rep").orderBy("id")
         member = self.rows.join(self.exact, ["h", "vec"]).select("rep", "id")
         self.members = member.withColumn("r", F.row_number().over(w)).where(F.col("r") <= copies).select("rep", "id")
+        self.size = self.exact.count()
+        self.shards = shards_for(self.size)
+        shards, dim = self.shards, self.dim
 
-        def small(batches):
+        def packed(batches):
             for t in batches:
-                yield pa.RecordBatch.from_arrays([t.column("rep"), pa.array(shrink(matrix(t.column("vec"))), pa.binary())], names=["rep", "vq"])
-
-        with _narrow(spark):
-            self.nodes = cut(self.exact.select("rep", "vec").mapInArrow(small, "rep long, vq binary"))
-            n = self.size = self.nodes.count()
-            lists = cut(_merge(None, _first_edges(self.nodes, n, k, BLOCK, SEEDS), k))
-            for _ in range(rounds if n > k + 1 else 0):
-                lists = cut(_merge(lists, _round(lists, self.nodes, k), k))
-                _tidy(spark)
-                fresh = lists.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
-                if fresh <= 0.01 * n * k:
-                    break
-            back = _reverse(lists, GRAPH_REVERSE).groupBy("v").agg(F.collect_list("m").alias("more"))
-            both = lists.select(F.col("u").alias("v"), "ids").join(back, "v", "full")
-            empty = F.array().cast("array<long>")
-            self.graph = cut(both.select(F.col("v").alias("node"), F.array_union(F.coalesce("ids", empty), F.coalesce("more", empty)).alias("near")))
+                yield pa.RecordBatch.from_arrays([t.column("rep"), pa.array(pack(matrix(t.column("vec"))), pa.binary())], names=["rep", "raw"])
+
+        def build(batches):
+            for t in _whole(batches, ["shard", "rep", "raw"]):
+                x = unpack(t.column("raw").to_pylist(), dim)
+                near = descend((x / _largest(x)).astype(np.float32), k, rounds)
+                for a in range(0, len(x), 1000):
+                    part = t.slice(a, 1000).combine_chunks()
+                    lists = pa.array([g.tobytes() for g in near[a : a + 1000]], pa.binary())
+                    yield pa.RecordBatch.from_arrays([part.column(c).combine_chunks() for c in ("shard", "rep", "raw")] + [lists], names=["shard", "rep", "raw", "near"])
+
+        nodes = self.exact.select("rep", "vec").mapInArrow(packed, "rep long, raw binary")
+        nodes = nodes.select(F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int").alias("shard"), "rep", "raw")
+        nodes = nodes.repartitionById(shards, "shard").sortWithinPartitions("shard", "rep")
+        self.graph = cut(nodes.mapInArrow(giving_back(build), "shard int, rep long, raw binary, near binary"))
 
     def search(self, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", top: int = 10, beam: int | None = None, expand: int = EXPAND) -> DataFrame:
         """(query_id, rank, vec_id, score): the nearest found of each usable query, its own id left out."""
-        spark, beam = self.spark, beam or beam_for(self.size)
+        beam = max(beam or BEAM, 2 * top)
         q = queries.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("q"), as_double(queries, vec_col).alias("vec"))
         q = q.where(usable(F.col("vec")) & (F.size("vec") == self.dim)).groupBy("q").agg(F.min("vec").alias("vec"))
         q = q.withColumn("h", F.xxhash64(F.transform("vec", lambda x: x + 0.0)))
-        q = cut(q.join(self.exact.select("h", "vec", "rep"), ["h", "vec"], "left"))
-        entries = [r.rep for r in self.nodes.orderBy(F.xxhash64("rep")).limit(ENTRIES).select("rep").collect()]
-        some = F.array(*[F.lit(e) for e in entries]).cast("array<long>") if entries else F.array().cast("array<long>")
+        q = q.join(self.exact.select("h", "vec", "rep"), ["h", "vec"], "left").select("q", "rep", "vec")
+        shards, dim = self.shards, self.dim
 
-        def begin(batches):
+        def packed(batches):
             for t in batches:
-                yield pa.RecordBatch.from_arrays([t.column("q"), pa.array(shrink(matrix(t.column("vec"))), pa.binary()), t.column("first")], names=["q", "qv", "first"])
-
-        schema = "q long, qv binary, ids array<long>, ds array<float>, front array<long>, expanded array<long>, seen array<long>"
-        start = q.select("q", "vec", F.array_union(F.array_compact(F.array("rep")), some).alias("first")).mapInArrow(begin, "q long, qv binary, first array<long>")
-        none = lambda kind: F.array().cast(f"array<{kind}>")
-        with _narrow(spark):
-            # the first nodes are measured like neighbours of no node
-            state = cut(start.select("q", "qv", none("long").alias("ids"), none("float").alias("ds"), none("long").alias("front"), none("long").alias("expanded"), none("long").alias("seen"), "first"))
-            met = state.select("q", F.explode("first").alias("m"))
-            state = state.drop("first")
-            while True:
-                cand = met.join(self.nodes.withColumnRenamed("rep", "m"), "m").select("q", F.lit(1).alias("kind"), "m", "vq")
-                rows = state.withColumn("kind", F.lit(0)).withColumn("m", F.lit(None).cast("long")).withColumn("vq", F.lit(None).cast("binary"))
-                rows = rows.unionByName(cand, allowMissingColumns=True)
-                state = cut(_beams(rows, beam, expand, schema))
-                front = state.select("q", F.explode("front").alias("node"))
-                if front.limit(1).count() == 0:
-                    break
-                met = front.join(self.graph, "node").select("q", F.explode("near").alias("m")).distinct()
-                _tidy(spark)
-        found = state.select("q", F.explode(F.slice("ids", 1, max(RERANK, 2 * top))).alias("rep"))
-        exact = found.join(self.exact.select("rep", F.col("vec").alias("v")), "rep").join(q.select("q", "vec"), "q").select("q", "rep", "vec", "v")
-
-        def measure(batches):
-            for t in batches:
-                d = matrix(t.column("vec")) - matrix(t.column("v")) if t.num_rows else np.zeros((0, 1))
-                yield pa.RecordBatch.from_arrays([t.column("q"), t.column("rep"), pa.array(np.sqrt((d * d).sum(axis=1)))], names=["q", "rep", "score"])
+                yield pa.RecordBatch.from_arrays([t.column("q"), t.column("rep"), pa.array(pack(matrix(t.column("vec"))), pa.binary())], names=["q", "rep", "raw"])
+
+        asked = q.mapInArrow(packed, "q long, rep long, raw binary")
+        asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "q", "rep", "raw")
+        rows = self.graph.select("shard", F.lit(None).cast("long").alias("q"), "rep", "raw", "near").unionByName(asked, allowMissingColumns=True)
 
-        scored = exact.mapInArrow(measure, "q long, rep long, score double")
+        def find(batches):
+            for t in _whole(batches, ["shard", "q", "rep", "raw", "near"]):
+                n = t.column("q").null_count  # nodes come first
+                if n in (0, t.num_rows):
+                    continue
+                rep = t.column("rep").slice(0, n).to_numpy()
+                x = unpack(t.column("raw").slice(0, n).to_pylist(), dim)
+                near = np.frombuffer(b"".join(t.column("near").slice(0, n).to_pylist()), np.int32).reshape(n, -1)
+                ids = t.column("q").slice(n).to_numpy()
+                first = t.column("rep").slice(n).fill_null(-1).to_numpy()
+                raw, most = t.column("raw").slice(n).to_pylist(), _largest(x)
+                small, at = (x / most).astype(np.float32), np.minimum(np.searchsorted(rep, first), n - 1)
+                own = np.where(rep[at] == first, at, -1)
+                for a in range(0, len(ids), ASKED):
+                    v = unpack(raw[a : a + ASKED], dim)
+                    best = walk(small, near, (v / most).astype(np.float32), own[a : a + ASKED], beam, expand)[:, : 2 * top]
+                    r, c = np.nonzero(best >= 0)
+                    d = x[best[r, c]] - v[r]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[a + r]), pa.array(rep[best[r, c]]), pa.array(np.sqrt((d * d).sum(axis=1)))], names=["q", "rep", "score"])
+
+        scored = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", F.col("q").asc_nulls_first(), "rep").mapInArrow(giving_back(find), "q long, rep long, score double")
+        near = Window.partitionBy("q").orderBy("score", "rep")
+        scored = scored.withColumn("r", F.row_number().over(near)).where(F.col("r") <= RERANK).drop("r")
         w = Window.partitionBy("query_id").orderBy("score", "vec_id")
         out = scored.join(self.members, "rep").where("id <> q").select(F.col("q").alias("query_id"), F.col("id").alias("vec_id"), "score")
         return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _beams(rows: DataFrame, beam: int, expand: int, schema: str) -> DataFrame:
-    """One round of every beam: measure what is new, keep the best, name what to expand next."""
-    names = ["q", "kind", "m", "vq", "qv", "ids", "ds", "expanded", "seen"]
-
-    def run(batches):
-        for t in _groups(batches, names):
-            q, kind, m = t.column("q").to_numpy(), t.column("kind").to_numpy(), t.column("m").to_numpy()
-            vq = t.column("vq").to_pylist()
-            out = []
-            cuts = _runs(q)
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if kind[a] != 0:
-                    continue
-                row = {c: t.column(c)[int(a)].as_py() for c in ("qv", "ids", "ds", "expanded", "seen")}
-                ids, ds = np.array(row["ids"], np.int64), np.array(row["ds"], np.float32)
-                seen = np.array(row["seen"], np.int64)
-                new = m[a + 1 : b].astype(np.int64)
-                fresh = ~np.isin(new, seen)
-                new = new[fresh]
-                if len(new):
-                    x = grow([vq[a + 1 + i] for i in np.flatnonzero(fresh)])
-                    d = distances(grow([row["qv"]]), x)[0]
-                    ids, ds, seen = np.concatenate((ids, new)), np.concatenate((ds, d)), np.concatenate((seen, new))
-                    o = np.lexsort((ids, ds))[:beam]
-                    ids, ds = ids[o], ds[o]
-                done = np.array(row["expanded"], np.int64)
-                front = ids[~np.isin(ids, done)][:expand]
-                done = np.concatenate((done[np.isin(done, ids)], front))
-                out.append((int(q[a]), row["qv"], ids, ds, front, done, seen))
-            if out:
-                qs, qv, *arrays = zip(*out, strict=True)
-                lists = [pa.array([x.tolist() for x in col], pa.list_(pa.float32() if i == 1 else pa.int64())) for i, col in enumerate(arrays)]
-                yield pa.RecordBatch.from_arrays([pa.array(qs, pa.int64()), pa.array(qv, pa.binary()), *lists], names=[x.split()[0] for x in schema.split(", ")])
-
-    return rows.select(*names).repartition("q").sortWithinPartitions("q", "kind").mapInArrow(run, schema)
-
-
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,

@@ -73,3 +73,38 @@ def test_copies_ties_and_odd_vectors(spark):
     assert nndescent.nearest(df, df.limit(0)).count() == 0
     one = spark.createDataFrame([(1, [1.0, 1.0]), (2, [2.0, 1.0])], "vec_id long, embedding array<double>")
     assert found(nndescent.nearest(one, one)) == {1: [(2, 1.0)], 2: [(1, 1.0)]}
+
+
+def test_shards_lose_nothing_and_keep_rounds_out_of_shuffles(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 16))
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(nndescent, "SHARD", 700)
+    index = nndescent.Index(df)
+    got = index.graph.groupBy("shard").count().collect()
+    assert index.shards == len(got) == 6 and sum(r["count"] for r in got) == 4000
+    asked = index.search(df.where("vec_id % 100 = 0"))
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") <= 2  # the whole search, and how queries are packed
+    assert recall(found(asked), brute(rows, range(0, 4000, 100))) >= 0.98
+
+
+def test_greedy_walk_on_the_graph_of_a_shard():
+    x = np.random.default_rng(6).normal(size=(3000, 24)).astype(np.float32)
+    near = nndescent.descend(x, 16, 5)
+    d = nndescent.distances(x, x)
+    np.fill_diagonal(d, np.inf)
+    want = np.argsort(d, axis=1)[:, :10]
+    assert np.mean([len(set(a[:16]) & set(b)) / 10 for a, b in zip(near, want)]) >= 0.85
+    assert all(i not in set(a) for i, a in enumerate(near))
+    got = nndescent.walk(x, near, x[:200], np.arange(200), 100, 8)
+    assert (got[:, 0] == np.arange(200)).all()
+    assert np.mean([len(set(a[1:11]) & set(b)) / 10 for a, b in zip(got, want[:200])]) >= 0.95
+
+
+def test_vectors_are_packed_exactly():
+    x = np.array([[1.0, 0.5], [0.1, 2.0], [1e300, -1e-300]])
+    raw = nndescent.pack(x)
+    assert [len(r) for r in raw] == [8, 16, 16]
+    assert (nndescent.unpack(raw, 2) == x).all() and (nndescent.unpack(raw[:1], 2) == x[:1]).all()
