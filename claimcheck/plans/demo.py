@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 GROUPS = 12
 STOP, TARGET = 20.0, 10.0
+REPLY_EVERY = 3
 KINDS = ["purchase", "click", "error", "view"]
 
 
@@ -64,6 +65,7 @@ def _latest_purchase(e: DataFrame) -> DataFrame:
     Days are looked through one by one and what the days before leave over is
     carried on, so that no task needs all events of a group.  Rows are dealt
     out once, as numbers; each day's last purchase is found before that.
+    Only what replies or was bought is dealt out: no other row's is used.
     """
     bought, order = F.col("kind") == 1 + KINDS.index("purchase"), F.struct("ts", "event_id")
     day = F.to_date("ts")
@@ -72,10 +74,15 @@ def _latest_purchase(e: DataFrame) -> DataFrame:
     days = days.select("g", "day", F.last("last", ignorenulls=True).over(before).alias("carried"))
     # dealt by number, which is not merged into few tasks: texts cost more than their bytes tell
     n = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    e = e.repartition(n, "g", day).withColumn("day", day)
+    needed = F.coalesce((F.col("event_id") % REPLY_EVERY == 0) | bought, F.lit(False))
+    rest = e.where(~needed & F.col("g").isNotNull() & day.isNotNull()).withColumn("latest", F.lit(None).cast("long"))
+    e = e.where(needed).repartition(n, "g", day).withColumn("day", day)
     earlier = Window.partitionBy("g", "day").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
     e = e.withColumn("today", F.last(F.when(bought, F.col("event_id")), ignorenulls=True).over(earlier))
-    return e.join(days, ["g", "day"]).withColumn("latest", F.coalesce("today", "carried")).drop("today", "carried", "day")
+    e = e.join(days, ["g", "day"]).withColumn("latest", F.coalesce("today", "carried")).drop("today", "carried", "day")
+    # a table of few parts would be read and classified by few tasks
+    few = rest.rdd.getNumPartitions() < e.sparkSession.sparkContext.defaultParallelism
+    return e.unionByName(rest.repartition(n) if few else rest)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +97,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.lit(None).cast("string").alias("sender_id"),
         message_text().alias("text"),
-        F.when(F.col("event_id") % 3 == 0, F.col("latest")).alias("reply_to_msg_id"),
+        F.when(F.col("event_id") % REPLY_EVERY == 0, F.col("latest")).alias("reply_to_msg_id"),
         F.lit("demo").alias("ingest_method"),
     )
 

@@ -49,3 +49,31 @@ def test_follow_ups_meet_their_pairs_in_one_slot(spark):
     plan = queries.QUERIES["link_interval_candidates"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     spread = re.findall(r"Generate explode\(array\(.*?\]", plan)
     assert spread and all("signal_id" in x and "follow_up_id" not in x for x in spread)
+
+
+def test_only_what_replies_or_was_bought_is_dealt_out(spark, tmp_path):
+    """Of a table of many parts the other rows, more than half, stay where they are; all have the same messages."""
+    whole = spark.read.parquet(f"{SF}/events.parquet")
+    whole.repartition(16).write.option("maxRecordsPerFile", 100).parquet(f"{tmp_path}/events.parquet")
+    key = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        many = demo.messages(spark, str(tmp_path))
+        assert "RoundRobin" not in many._jdf.queryExecution().executedPlan().toString()
+        want = sorted(demo.messages(spark, SF).collect(), key=lambda r: r.message_id)
+        assert sorted(many.collect(), key=lambda r: r.message_id) == want and len(want) == whole.count()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", key)
+
+
+def test_few_signals_go_to_two_slots(spark):
+    s = h.signals(spark, [(f"g:{i}", 60 * i, "BUY", 4700.0, None, None, None, [4710.0], "COMPLETE") for i in range(1, 900)])
+    f = h.follow_ups(spark, [(f"g:{1000 + i}", 60 * i + 1, "TP_HIT", 1, None, 30.0) for i in range(0, 950, 7)])
+    f = f.unionByName(h.follow_ups(spark, [("g:5000", 899 * 60 + 48 * 60, "TP_HIT", 1, None, 1.0), ("g:5001", 899 * 60 + 48 * 60 + 0.001, "TP_HIT", 1, None, 1.0)]))
+    cfg = Settings()
+    best = link.best_candidates(f, s, cfg, 1).groupBy("follow_up_id").agg(link.F.max("score")).collect()
+    every = link.interval_candidates(f, s, cfg).groupBy("follow_up_id").agg(link.F.max("score")).collect()
+    assert sorted(best) == sorted(every)
+    assert "g:5000" in {r[0] for r in best} and "g:5001" not in {r[0] for r in best}
+    own, last = link._slot(link.F.col("ts"), cfg.link_window_hours * link.SLOT_WINDOWS), link._slot(link.F.col("ts") + link.S.hours(cfg.link_window_hours), cfg.link_window_hours * link.SLOT_WINDOWS)
+    assert s.where(own != last).count() < 0.4 * s.count()
