@@ -51,6 +51,23 @@ def test_follow_ups_meet_their_pairs_in_one_slot(spark):
     assert spread and all("signal_id" in x and "follow_up_id" not in x for x in spread)
 
 
+def test_alike_signals_meet_alike_follow_ups_once(spark, monkeypatch):
+    """Pairs are made of what the join gives, one row for each number of ids, and all are there, however few ids a row takes."""
+    monkeypatch.setattr(link, "ALIKE", 3, raising=False)
+    s = [(f"{'gk'[i % 2]}:{i}", i % 6 * 700, "BUY", 4700.0 + i % 3, None, None, None, [None, [], [4710.0]][i % 3], "COMPLETE") for i in range(60)]
+    f = [(f"{'gkh'[i % 3]}:{100 + i}", 100 + i % 5 * 1200, "TP_HIT", None if i % 5 else 1, 4701.5 if i % 2 else None, None) for i in range(70)]
+    got = link.interval_candidates(h.follow_ups(spark, f), h.signals(spark, s), Settings())
+    want = sorted((y[0], x[0]) for x in s for y in f if x[0][0] == y[0][0] and 0 <= y[1] - x[1] <= 48 * 60)
+    assert sorted((r.follow_up_id, r.signal_id) for r in got.collect()) == want and len(want) > 300
+    for r in got.collect():
+        x, y = s[int(r.signal_id[2:])], f[int(r.follow_up_id[2:]) - 100]
+        price, tp = y[4] is not None and x[7] is not None and abs(y[4] - x[3]) <= 1, y[3] == 1 and x[7] == [4710.0]
+        assert (r.price_match, r.tp_match) == (price, tp)
+        assert abs(r.score - (0.55 * price + 0.35 * tp + 0.3 * (1 - (y[1] - x[1]) / 2880))) < 1e-9
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(signal_ids") < plan.index("Join Inner")
+
+
 def test_only_what_replies_or_was_bought_is_dealt_out(spark, tmp_path):
     """Of a table of many parts the other rows, more than half, stay where they are; all have the same messages."""
     whole = spark.read.parquet(f"{SF}/events.parquet")
