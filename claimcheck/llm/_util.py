@@ -13,6 +13,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,15 +101,44 @@ def giving_back(run: Callable) -> Callable:
     return whole
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def _settled(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the edges and the smallest node reachable from each."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    up = np.arange(len(nodes))
+    while (up[x] != up[y]).any():
+        np.minimum.at(up, np.maximum(up[x], up[y]), np.minimum(up[x], up[y]))
+        while (up != up[up]).any():
+            up = up[up]
+    return nodes, nodes[up]
+
+
+def _in_one_task(pairs: DataFrame) -> DataFrame:
+    """``components`` of few edges."""
+
+    def run(batches):
+        held = [(t.column("a").to_numpy(), t.column("b").to_numpy()) for t in batches if t.num_rows]
+        if held:
+            found = _settled(*map(np.concatenate, zip(*held, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["node", "component"])
+
+    return cut(pairs.coalesce(1).mapInArrow(run, "node long, component long"))
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", small: int = 0) -> DataFrame:
     """(node, component): the smallest node reachable from each node of an edge.
 
     Minimum over neighbours, then a pointer jump, until nothing changes; each
     round is a few equi-joins and map-side combined minima, and its labels are
     cut off in the shared folder.  Edges never leave the executors.  Empty
-    input gives an empty result.
+    input gives an empty result.  At most ``small`` edges, of which a round
+    costs many times the work, are settled in one task.
     """
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
+    if small:
+        pairs = cut(pairs.selectExpr("cast(a as long) a", "cast(b as long) b"))
+        if pairs.count() <= small:
+            return _in_one_task(pairs)
     sym = cut(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut(sym.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("c")))
     while True:

@@ -38,6 +38,7 @@ BLOCK = 512  # texts of a block in the comparison of what is left apart
 COARSE = 8  # so many blocks of texts make a block of sketches
 BROADCAST_GROUPS = 200_000  # at most so many sizes of groups are broadcast
 BROADCAST_KEYS = 100_000  # and so many keys of texts
+FEW_EDGES = 200_000  # at most so many links are settled in one task
 
 
 # ---------------------------------------------------------------- sketches
@@ -449,17 +450,17 @@ def near_duplicates(
     first = others.groupBy("node").agg(F.max(F.struct("density", (-F.col("centre")).alias("m"))).alias("c")).select((-F.col("c.m")).alias("a"), F.col("node").alias("b"))
     first = cut(first)
     links = verify(_likely(first, classes, least), texts, shingle_words, num, den)
-    labels = components(links)
+    labels = components(links, small=FEW_EDGES)
     at = lambda n: labels.select(F.col("node").alias(n), F.col("component").alias("c" + n))
     rest = others.select(F.col("centre").alias("a"), F.col("node").alias("b")).join(at("b"), "b", "left").join(at("a"), "a", "left")
     rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
     links = verify(_likely(rest, classes, least), texts, shingle_words, num, den)
     star = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    labels = components(star.unionByName(links))
+    labels = components(star.unionByName(links), small=FEW_EDGES)
     more = cut(_apart(members, labels, classes, texts, shingle_words, num, den))
     if more.limit(1).count():
         star = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        labels = components(star.unionByName(more))
+        labels = components(star.unionByName(more), small=FEW_EDGES)
     named = classes.join(labels, "node", "left").select("fp1", "fp2", "n_shingles", "id", "th", F.coalesce("component", "node").alias("component"))
     named = cut(named)
     chosen = cut(named.groupBy("component").agg(F.min_by(F.struct("id", "th"), order).alias("k")))

@@ -7,7 +7,7 @@ from math import lgamma
 import numpy as np
 import pytest
 
-from claimcheck.llm import _words, setsketch
+from claimcheck.llm import _util, _words, setsketch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -151,3 +151,20 @@ def test_long_texts_in_pieces_have_the_same_sets(monkeypatch, k):
         monkeypatch.setattr(_words, "SLICE_BYTES", 64)
         pieces = _words.shingle_sets(data, off, k)
         assert whole[0].tolist() == pieces[0].tolist() and whole[1].tolist() == pieces[1].tolist()
+
+
+def test_few_links_are_settled_in_one_job_as_many_are_in_rounds(spark):
+    rng = random.Random(7)
+    edges = [(i, i + 1) for i in range(5000, 5060)] + [(90 - i, 91 - i) for i in range(40)] + [(7, 7), (-3, 7)]
+    edges += [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(150)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    label = {x: x for e in edges if e[0] != e[1] for x in e}
+    while any(label[a] != label[b] for a, b in edges if a != b):
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    few = _util.components(df, small=len(edges))
+    assert {r.node: r.component for r in few.collect()} == label == {r.node: r.component for r in _util.components(df, small=10).collect()}
+    assert few.rdd.getNumPartitions() == 1
+    assert _util.components(df.where("a = b"), small=9).collect() == []
